@@ -32,7 +32,7 @@ def unpacked(blob: str) -> str:
     )
 
 
-_TOKENS = "filter(transform(split({csv}, ','), t -> trim(t)), t -> t <> '')"
+_TOKENS = "filter(transform(split({csv}, ','), t -> btrim(t, ' \\t\\n\\r')), t -> t <> '')"
 
 s2_cell_union_pack = Formula(
     "s2_cell_union_pack",

@@ -25,7 +25,7 @@ def children(df: DataFrame, cell: str, level: int | str, out: str = "child_id")
         df = df.selectExpr(
             *keep, "_to", "_c", f"{cells.lsb('_c')} AS _b",
             f"{cells.level_lsb(f'least(_to, {own} + {_STRIDE})')} AS _n",
-        ).selectExpr(*keep, "_to", "explode(sequence(_c - _b + _n, _c + _b - _n, 2 * _n)) AS _c")
+        ).selectExpr(*keep, "_to", "explode(sequence(_c - (_b - _n), _c + (_b - _n), 2 * _n)) AS _c")
     return df.selectExpr(*keep, f"_c AS `{out}`")
 
 

@@ -1,0 +1,45 @@
+"""Equi-joins whose left side may have very frequent keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side of at most this many (narrow) rows is broadcast.
+BROADCAST_ROWS = 1_000_000
+# Keys with more rows than this on the left are spread over several tasks.
+HOT_ROWS = 2_000_000
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Measured, not estimated: counts no further than the bound."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def join_large(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``left`` joined to ``right``: broadcast if ``right`` is small, else shuffled with hot keys salted.
+
+    The keys of ``right`` rows must be narrow.  ``how``: inner, left, left_semi or left_anti.
+    """
+    if is_small(right, broadcast_rows):
+        return left.join(F.broadcast(right), on, how)
+    # at most rows/hot_rows keys are hot
+    hot = left.groupBy(*on).count().where(F.col("count") > hot_rows)
+    hot = hot.select(*on, F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts"))
+    if not is_small(hot, broadcast_rows):
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
+    # same salt when a lost task runs again; copies of one row still spread over map tasks
+    salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.col("_salts"))
+    spread = left.join(hot, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
+    repeated = right.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    )
+    return spread.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")

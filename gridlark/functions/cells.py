@@ -228,8 +228,14 @@ def center_steps(cell: str = "{cell}", tag: str = "") -> list[dict[str, str]]:
     ]
 
 
-LON = "degrees(atan2({y}, {x}))"
-LAT = "degrees(atan2({z}, sqrt({x} * {x} + {y} * {y})))"
+# atan2 in Spark takes -0.0 for 0.0; these are the places where the sign of zero shows
+LON = (
+    "CASE WHEN {y} = 0 AND {f} IN (2L, 3L) THEN if({x} <= 0, -180D, -0.0D) ELSE degrees(atan2({y}, {x})) END"
+)
+LAT = (
+    "CASE WHEN {z} = 0 AND {f} IN (3L, 4L) THEN -0.0D "
+    "ELSE degrees(atan2({z}, sqrt({x} * {x} + {y} * {y}))) END"
+)
 POINT_TEXT = f"format_string('POINT(%.7f %.7f)', {LON}, {LAT})"
 
 

@@ -29,17 +29,15 @@ def cell_union_agg(
     rows (parts 0, 1, ..) that together hold its cells, so that no task gathers
     an unbounded group.
     """
+    if not by:
+        return cell_union_agg(df.withColumn("_all", F.lit(0)), ["_all"], cell, out, max_cells).drop("_all")
     counts = df.where(f"`{cell}` IS NOT NULL").groupBy(*by, F.col(cell).alias("_c")).agg(F.count("*").alias("_n"))
-    sizes = counts.groupBy(*by).agg(F.sum("_n").alias("_total")) if by else counts.agg(F.sum("_n").alias("_total"))
-    large = sizes.where(F.col("_total") > max_cells)
-    if by:
-        # at most rows/max_cells groups are large
-        large = F.broadcast(large) if is_small(large) else large
-        same = [counts[k].eqNullSafe(large[k]) for k in by]
-        sized = counts.join(large, same, "left").select(*(counts[k] for k in by), "_c", "_n", "_total")
-    else:
-        sized = counts.crossJoin(F.broadcast(sizes))  # one row
-        sized = sized.withColumn("_total", F.when(F.col("_total") > max_cells, F.col("_total")))
+    # at most rows/max_cells groups are large
+    large = counts.groupBy(*by).agg(F.sum("_n").alias("_total")).where(F.col("_total") > max_cells)
+    large = large.select("_total", *(F.col(k).alias(f"_by_{k}") for k in by))
+    large = F.broadcast(large) if is_small(large) else large
+    same = [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by]
+    sized = counts.join(large, same, "left").select(*by, "_c", "_n", "_total")
     # copies of one cell in pieces, pieces spread over parts filled by half
     piece = max(max_cells // 16, 1)
     pieces = sized.selectExpr(
@@ -68,9 +66,9 @@ def cell_union_area(df: DataFrame, by: list[str], blob: str, out: str = "area_m2
     """Area of unions per key (stored cells summed, copies count each time)."""
     cell = explode_union(df.select(*by, blob), blob, "_c")
     area = cells.s2_area_m2.add(cell, "_a", "_c", cells.level_of("_c"))
-    sums = area.groupBy(*by).agg(F.sum("_a").alias("_s"))
-    empty = df.select(*by).distinct().select(*by, F.lit(0.0).alias("_s"))
-    return sums.union(empty).groupBy(*by).agg(F.sum("_s").alias(out))
+    # a zero per blob, so that empty unions keep their row
+    zeros = df.select(*by, F.when(F.col(blob).isNotNull(), F.lit(0.0)).alias("_a"))
+    return area.select(*by, "_a").union(zeros).groupBy(*by).agg(F.sum("_a").alias(out))
 
 
 @F.arrow_udf("array<bigint>")

@@ -58,9 +58,12 @@ class Loop(dict):
     def __init__(self, first: int, last: int, by: int, init: dict[str, str], body: dict[str, str]):
         super().__init__(body)
         self.first, self.last, self.by, self.init = first, last, by, init
+        self.cut_inside = False
 
     def together(self, other: Loop) -> Loop:
-        return Loop(self.first, self.last, self.by, self.init | other.init, {**self, **other})
+        both = Loop(self.first, self.last, self.by, self.init | other.init, {**self, **other})
+        both.cut_inside = True  # twice the code
+        return both
 
     def reads(self) -> set[str]:
         used = {n for text in (*self.values(), *self.init.values()) for n in names_in(text)}
@@ -179,9 +182,11 @@ class Formula:
         ]
         for turn, texts in enumerate(turns):
             after = {n: f"`_{k}_{turn}_{n}`" for n in step}
-            df = df.selectExpr(
-                *keep, *rest, *(f"{t.format(**env)} AS {after[n]}" for n, t in texts.items())
-            )
+            exprs = [f"{t.format(**env)}" for t in texts.values()]
+            if step.cut_inside and turn == len(turns) // 2:
+                exprs[0] = f"explode(array({exprs[0]}))"
+            named = (f"{e} AS {after[n]}" for e, n in zip(exprs, texts, strict=True))
+            df = df.selectExpr(*keep, *rest, *named)
             env = outside | after
         return df, env
 

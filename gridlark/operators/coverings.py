@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import cells, wkt
 from . import rectcover
@@ -35,17 +36,17 @@ def _cover_batch(box: pa.StructArray, lo: pa.Array, hi: pa.Array, limit: pa.Arra
     return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(ids, pa.int64()))
 
 
-@F.arrow_udf("array<bigint>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def _covering_cells(box: pa.Array, lo: pa.Array, hi: pa.Array, limit: pa.Array) -> pa.Array:
     return _cover_batch(box, lo, hi, limit, interior=False)
 
 
-@F.arrow_udf("array<bigint>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def _interior_cells(box: pa.Array, lo: pa.Array, hi: pa.Array, limit: pa.Array) -> pa.Array:
     return _cover_batch(box, lo, hi, limit, interior=True)
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(T.BooleanType())
 def _box_meets_cell(box: pa.Array, face: pa.Array, i: pa.Array, j: pa.Array, level: pa.Array) -> pa.Array:
     rects = _rects(box)
     face, i, j, level = (a.to_numpy(zero_copy_only=False) for a in (face, i, j, level))

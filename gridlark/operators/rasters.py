@@ -41,6 +41,8 @@ FIELDS = {
 }
 STATS = {"rs_min": "min", "rs_max": "max", "rs_mean": "mean", "rs_stddev": "stddev"}
 NAN = "double('NaN')"
+# bin of a value above lo; a NaN quotient counts as 0
+BIN = "if({w} = 0 OR isnan({w}) OR isnan(value), 0L, floor(try_divide(value - lo, {w})))"
 
 
 # -- per file -----------------------------------------------------------------------
@@ -211,8 +213,9 @@ def rs_histogram(pixels: DataFrame, bins: int) -> DataFrame:
     bounds = pixels.groupBy("path", "band").agg(low.alias("_lo"), high.alias("_hi"))
     bounds = bounds.selectExpr("path", "band", "_lo", f"(_hi - _lo) / {bins}D AS _w")
     placed = join_large(pixels.select("path", "band", "value"), bounds, ["path", "band"])
-    at = "if(_w = 0 OR isnan(_w) OR isnan(value), 0L, CAST(floor(try_divide(value - _lo, _w)) AS BIGINT))"
-    counted = placed.selectExpr("path", "band", "_lo", "_w", f"CAST({at} AS INT) AS bin", "1L AS _n")
+    placed = placed.withColumnRenamed("_lo", "lo")
+    bin_ = BIN.format(w="_w")
+    counted = placed.selectExpr("path", "band", "lo AS _lo", "_w", f"CAST({bin_} AS INT) AS bin", "1L AS _n")
     # a zero row per bin, so that empty bins come out of the same aggregation
     empty = bounds.selectExpr("path", "band", "_lo", "_w", f"explode(sequence(0, {bins - 1})) AS bin", "0L AS _n")
     summed = counted.where(f"bin < {bins}").union(empty).groupBy("path", "band", "bin").agg(

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import cells, unions
 from . import rectcover
@@ -71,7 +72,7 @@ def cell_union_area(df: DataFrame, by: list[str], blob: str, out: str = "area_m2
     return area.select(*by, "_a").union(zeros).groupBy(*by).agg(F.sum("_a").alias(out))
 
 
-@F.arrow_udf("array<bigint>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def _normal(ids: pa.Array) -> pa.Array:
     lengths = ids.value_lengths().fill_null(0).to_numpy()
     owner, flat = rectcover.normalize(np.repeat(np.arange(len(ids)), lengths), ids.flatten().to_numpy())

@@ -306,7 +306,8 @@ def _band_query(name: str) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         folder = derived.rasters(spark, sf)
         requests = derived.pixel_requests(spark, sf, folder)
-        found = rasters.add_band_statistics(requests, _values(spark, sf), [name])
+        values = rasters.tile_values(read_geotiff(spark, folder, bands="1"))
+        found = rasters.add_band_statistics(requests, values, [name])
         rounded = f"if(isnan({name}) OR abs({name}) = double('Infinity'), NULL, round({name}, 6)) AS {name}"
         return found.selectExpr("id", rounded)
 

@@ -10,6 +10,11 @@ from .operators import coverings, rasters
 from .sources.geotiff import GeoTiff
 
 
+_GRID = (
+    "STRUCT<bands: INT, width: INT, height: INT, block_rows: INT, chunk_rows: INT, block_cols: INT>"
+)
+
+
 def _define(spark: SparkSession, head: str, body: str) -> None:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
 
@@ -111,25 +116,61 @@ def register_rasters(spark: SparkSession, meta: DataFrame, tiles: DataFrame) ->
             f"abs({rasters._DET}) >= {rasters.SINGULAR!r}D",
         ),
     )
-    grid = "m.path = file AND greatest(col, 0) < m.width AND greatest(row, 0) < m.height"
+    # grid -> place of the tile -> the tile: each step hands its values on as arguments, so
+    # every look-up is an equi-join
+    _define(
+        spark,
+        "rs_tile(file STRING, b INT, r INT, c INT) RETURNS ARRAY<DOUBLE>",
+        "(SELECT any_value(data) FROM raster_tiles WHERE path = file AND band = b AND row0 = r AND col0 = c)",
+    )
     _define(
         spark,
-        "rs_value(file STRING, band INT, col INT, row INT) RETURNS DOUBLE",
-        "coalesce((SELECT max(get(t.data, (greatest(row, 0) - t.row0) * t.cols + greatest(col, 0) - t.col0)) "
-        "FROM raster_tiles t JOIN raster_metadata m ON t.path = m.path "
-        f"WHERE t.path = file AND {grid} AND t.band = least(greatest(rs_value.band, 1), m.bands) "
-        "AND greatest(row, 0) >= t.row0 AND greatest(row, 0) < t.row0 + t.rows "
-        "AND greatest(col, 0) >= t.col0 AND greatest(col, 0) < t.col0 + t.cols), double('NaN'))",
+        f"rs_grid(file STRING) RETURNS {_GRID}",
+        "(SELECT any_value(named_struct('bands', bands, 'width', width, 'height', height, 'block_rows', block_rows, "
+        "'chunk_rows', chunk_rows, 'block_cols', block_cols)) FROM raster_metadata WHERE path = file)",
+    )
+    _define(
+        spark,
+        "rs_tile_value(file STRING, b INT, x INT, y INT, r INT, c INT, cols INT) RETURNS DOUBLE",
+        "coalesce(get(rs_tile(file, b, r, c), (y - r) * cols + x - c), double('NaN'))",
+    )
+    top = "y - y % g.block_rows"
+    _define(
+        spark,
+        f"rs_value_on(file STRING, number INT, x INT, y INT, g {_GRID}) RETURNS DOUBLE",
+        "rs_tile_value(file, least(greatest(number, 1), g.bands), x, y, "
+        f"if(x < g.width AND y < g.height, {top} + (y % g.block_rows) DIV g.chunk_rows * g.chunk_rows, NULL), "
+        "x - x % g.block_cols, least(g.block_cols, g.width - (x - x % g.block_cols)))",
+    )
+    _define(
+        spark,
+        "rs_value(file STRING, number INT, x INT, y INT) RETURNS DOUBLE",
+        "rs_value_on(file, number, greatest(x, 0), greatest(y, 0), rs_grid(file))",
     )
     _define(
         spark,
         "rs_metadata(file STRING) RETURNS TABLE (path STRING, width INT, height INT, bands INT, crs STRING)",
         "SELECT m.path, m.width, m.height, m.bands, m.crs FROM raster_metadata m WHERE m.path = file",
     )
+    # a band beyond the last is the last
+    rasters.tile_values(tiles).join(meta.select("path", "bands"), "path").createOrReplaceTempView("raster_values")
+    one_band = "path = file AND (band = greatest(number, 1) OR (band = bands AND number > bands))"
+    low, high = f"coalesce(min({number}), double('Infinity'))", f"coalesce(max({number}), double('-Infinity'))"
     _define(
         spark,
         "rs_stats(file STRING, number INT) RETURNS TABLE "
         "(min DOUBLE, max DOUBLE, mean DOUBLE, stddev DOUBLE, count BIGINT)",
-        f"SELECT coalesce(min({number}), double('Infinity')), coalesce(max({number}), double('-Infinity')), "
-        f"avg(value), stddev_pop(value), count(*) FROM ({values}) WHERE band = greatest(number, 1) GROUP BY band",
+        f"SELECT {low}, {high}, avg(value), stddev_pop(value), count(*) FROM raster_values WHERE {one_band} GROUP BY band",
+    )
+    spark.sql(
+        f"SELECT path, band, bands, {low} AS lo, {high} AS hi FROM raster_values GROUP BY path, band, bands"
+    ).createOrReplaceTempView("raster_bounds")
+    width = "(hi - lo) / greatest(bins, 2)"
+    _define(
+        spark,
+        "rs_histogram(file STRING, number INT, bins INT) RETURNS TABLE (value DOUBLE, count BIGINT)",
+        f"SELECT lo + (bin + 0.5D) * w, sum(n) FROM (SELECT lo, {width} AS w, {rasters.BIN.format(w=width)} AS bin, 1L AS n "
+        f"FROM (SELECT b.*, v.value FROM raster_values v JOIN raster_bounds b ON v.path = b.path AND v.band = b.band) WHERE {one_band} "
+        f"UNION ALL SELECT lo, {width}, explode(sequence(0L, greatest(bins, 2) - 1L)), 0L FROM raster_bounds WHERE {one_band}) "
+        "WHERE bin < greatest(bins, 2) GROUP BY lo, w, bin",
     )

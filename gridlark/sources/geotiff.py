@@ -4,6 +4,11 @@ Option ``mode``: ``metadata`` (one row per file, header bytes only), ``tiles``
 (blocks of samples, the default) or ``pixels``.  The driver only lists files;
 headers and samples are read by the executors.  Small files share a partition,
 large ones are cut into slices of blocks.
+
+Options ``bands`` ("1,3"), ``rows`` and ``cols`` ("0-511") leave blocks outside
+unread.  They are options and not pushed-down filters on purpose: Spark keeps the
+outcome of a Python source's filter push-down with the loaded DataFrame, so two
+differently filtered uses of it in one query would disturb each other.
 """
 
 from __future__ import annotations
@@ -21,14 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
     InputPartition,
-    LessThan,
-    LessThanOrEqual,
 )
 
 from .tiff import Tiff, locate, plain
@@ -59,6 +57,12 @@ _ARROW = {
 _BATCH_BYTES = 16 << 20
 
 
+def _span(text: str | None) -> tuple[int, int]:
+    """"10-20" -> (10, 20), both included."""
+    low, _, high = (text or "").partition("-")
+    return int(low or 0), int(high or (1 << 31))
+
+
 @dataclass
 class Slice(InputPartition):
     """Whole files, or slice ``part`` of ``parts`` of one file."""
@@ -159,30 +163,8 @@ class GeoTiffReader(DataSourceReader):
         self.partition_files = int(options.get("partitionfiles", 1000))
         paths = json.loads(options["paths"]) if "paths" in options else [options["path"]]
         self.patterns = [p for p in paths if p]
-        self.only_paths: set[str] | None = None
-        self.only_bands: set[int] | None = None
-        self.range = {"row": [0, 1 << 31], "col": [0, 1 << 31]}
-
-    def pushFilters(self, filters: list[Filter]):  # noqa: N802
-        for f in filters:
-            name = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
-            values = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
-            if name == "path" and values is not None:
-                self.only_paths = values if self.only_paths is None else self.only_paths & values
-            elif name == "band" and values is not None and self.mode != "metadata":
-                self.only_bands = values if self.only_bands is None else self.only_bands & values
-            else:
-                if self.mode == "pixels" and name in self.range:
-                    self._narrow(self.range[name], f)
-                yield f
-
-    @staticmethod
-    def _narrow(bounds: list[int], f: Filter) -> None:
-        """Blocks outside the range are not read; Spark still applies the filter."""
-        if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
-            bounds[0] = max(bounds[0], f.value)
-        if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
-            bounds[1] = min(bounds[1], f.value)
+        self.only_bands = {int(b) for b in options["bands"].split(",")} if options.get("bands") else None
+        self.rows, self.cols = (_span(options.get(n)) for n in ("rows", "cols"))
 
     def _files(self) -> list[tuple[str, int]]:
         files = []
@@ -191,8 +173,6 @@ class GeoTiffReader(DataSourceReader):
             if not found and not self.skip_errors:
                 raise FileNotFoundError(f"Cannot open: {p}")
             files += found
-        if self.only_paths is not None:
-            files = [f for f in files if f[0] in self.only_paths]
         return files
 
     def partitions(self) -> list[Slice]:
@@ -211,7 +191,7 @@ class GeoTiffReader(DataSourceReader):
         return slices + [Slice(group)] if group or not slices else slices
 
     def _wanted(self, band, row, rows, col, cols) -> bool:
-        (r0, r1), (c0, c1) = self.range["row"], self.range["col"]
+        (r0, r1), (c0, c1) = self.rows, self.cols
         fits = row <= r1 and row + rows > r0 and col <= c1 and col + cols > c0
         return fits and (self.only_bands is None or band in self.only_bands)
 
@@ -234,9 +214,8 @@ class GeoTiff(DataSource):
 
 
 def read_geotiff(spark: SparkSession, path: str | list[str], mode: str = "tiles", **options) -> DataFrame:
-    """The data source, registered and loaded with block pruning by pushed filters."""
+    """The data source, registered and loaded; ``options`` as ``bands="1"``, ``onError="skip"``."""
     spark.dataSource.register(GeoTiff)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     paths = [path] if isinstance(path, str) else path
     reader = spark.read.format("geotiff").option("mode", mode).option("paths", json.dumps(paths))
     return reader.options(**{k: str(v) for k, v in options.items()}).load()

@@ -150,45 +150,47 @@ class Formula:
         if not self.steps:
             return df.selectExpr(*keep, f"{self.sql(*args)} AS `{out}`")
         env = {}
-        first = []
+        layers = []
         for (n, t), a in zip(self.args.items(), args, strict=True):
             env[n] = f"`_a_{n}`"
-            first.append(f"CAST({sql_text(a)} AS {t}) AS `_a_{n}`")
-        df = df.selectExpr(*keep, *first)
+            layers.append(f"CAST({sql_text(a)} AS {t}) AS `_a_{n}`")
+        layers = [layers]
         for k, step in enumerate(self.steps):
             if isinstance(step, Loop):
-                df, env = self._unrolled(df, keep, k, step, env)
+                env = self._unrolled(layers, k, step, env)
                 continue
             after = {n: f"`_{k}_{n}`" for n in self._live[k]}
             form = "explode(array({}))" if isinstance(step, Cut) else "{}"
-            exprs = [
-                (form.format(text.format(**env)) if n in step else env[n]) + f" AS {after[n]}"
-                for n, text in self._handed_on(k).items()
-            ]
-            df = df.selectExpr(*keep, *exprs)
+            layers.append(
+                [
+                    (form.format(text.format(**env)) if n in step else env[n]) + f" AS {after[n]}"
+                    for n, text in self._handed_on(k).items()
+                ]
+            )
             env = after
-        return df.selectExpr(
-            *keep, f"explode(array(CAST({self.result.format(**env)} AS {self.returns}))) AS `{out}`"
-        )
-
-    def _unrolled(
-        self, df: DataFrame, keep: list[str], k: int, step: Loop, env: dict[str, str]
-    ) -> tuple[DataFrame, dict[str, str]]:
+        layers.append([f"explode(array(CAST({self.result.format(**env)} AS {self.returns}))) AS `{out}`"])
+        # one statement, so that Spark analyzes all the layers in one go
+        text = "{_source}"
+        for layer in layers:
+            exprs = ", ".join(e.replace("{", "{{").replace("}", "}}") for e in (*keep, *layer))
+            text = f"(SELECT {exprs} FROM {text})"
+        return df.sparkSession.sql(text[1:-1], _source=df)
+
+    def _unrolled(self, layers: list[list[str]], k: int, step: Loop, env: dict[str, str]) -> dict[str, str]:
         outside = {n: env[n] for n in sorted((self._live[k] | step.reads()) - step.keys())}
-        rest = list(outside.values())
         turns = [step.init] + [
             {n: t.replace("{k}", str(v)) for n, t in step.items()}
             for v in range(step.first, step.last + (1 if step.by > 0 else -1), step.by)
         ]
         for turn, texts in enumerate(turns):
             after = {n: f"`_{k}_{turn}_{n}`" for n in step}
-            exprs = [f"{t.format(**env)}" for t in texts.values()]
+            exprs = [t.format(**env) for t in texts.values()]
             if step.cut_inside and turn == len(turns) // 2:
                 exprs[0] = f"explode(array({exprs[0]}))"
             named = (f"{e} AS {after[n]}" for e, n in zip(exprs, texts, strict=True))
-            df = df.selectExpr(*keep, *rest, *named)
+            layers.append([*outside.values(), *named])
             env = outside | after
-        return df, env
+        return env
 
     # -- SQL name ------------------------------------------------------------
     def register(self, spark: SparkSession) -> None:

@@ -67,6 +67,9 @@ _square = cells.Formula(
 def _generate(df, udf, text, lo, hi, limit, out) -> DataFrame:
     keep = [c for c in df.columns if c != out]
     boxed = df.withColumn("_box", F.expr(wkt.bounds(f"`{text}`"))).where("_box IS NOT NULL")
+    if not df.isStreaming:
+        # a covering costs far more than moving its row: use every core even for a small file
+        boxed = boxed.repartition(df.sparkSession.sparkContext.defaultParallelism)
     arrays = boxed.withColumn("_ids", udf("_box", F.lit(lo), F.lit(hi), F.lit(limit)))
     return arrays.select(*keep, "_box", F.explode("_ids").alias(out))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cells, wkt
+from ..session import stored
 from .cells import neighbors
 from .coverings import covering
 from .skew import join_large
@@ -52,6 +53,8 @@ def points_in_fences(
     """
     covered = covering(fences.select(fence, text), text, min_level, max_level)
     boxed = covered.withColumn("_box", F.expr(wkt.bounds(f"`{text}`"))).select(fence, "cell_id", "_box.*")
+    # looked at three times below: levels, size, join
+    boxed = stored(boxed)
     pairs = points_in_cells(points, boxed, lat, lon, **bounds)
     inside = f"`{lat}` BETWEEN lat_lo AND lat_hi AND `{lon}` BETWEEN lon_lo AND lon_hi"
     return pairs.where(inside).select(*points.columns, fence)

@@ -128,7 +128,7 @@ def rasters(spark: SparkSession, sf_dir: str) -> str:
 
 
 def file_name(path: str = "path") -> str:
-    return f"regexp_extract({path}, '[^/]+$', 0)"
+    return f"substring_index({path}, '/', -1)"
 
 
 def pixel_requests(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship() -> None:
@@ -25,3 +25,10 @@ def scratch_folder(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="gridlark-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/gridlark-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for results used several times."""
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -52,17 +52,18 @@ class Cut(dict):
 class Loop(dict):
     """A step repeated for ``{k}`` = first, first+by, .. last: values start at ``init``.
 
-    Projections unroll it; the expression form folds it with ``aggregate``.
+    Projections unroll it, with a cut (see ``Cut``) every few turns; the expression
+    form folds it with ``aggregate``.
     """
 
     def __init__(self, first: int, last: int, by: int, init: dict[str, str], body: dict[str, str]):
         super().__init__(body)
         self.first, self.last, self.by, self.init = first, last, by, init
-        self.cut_inside = False
+        self.cut_every = 8
 
     def together(self, other: Loop) -> Loop:
         both = Loop(self.first, self.last, self.by, self.init | other.init, {**self, **other})
-        both.cut_inside = True  # twice the code
+        both.cut_every = self.cut_every // 2  # twice the code per turn
         return both
 
     def reads(self) -> set[str]:
@@ -185,7 +186,7 @@ class Formula:
         for turn, texts in enumerate(turns):
             after = {n: f"`_{k}_{turn}_{n}`" for n in step}
             exprs = [t.format(**env) for t in texts.values()]
-            if step.cut_inside and turn == len(turns) // 2:
+            if turn and turn % step.cut_every == 0:
                 exprs[0] = f"explode(array({exprs[0]}))"
             named = (f"{e} AS {after[n]}" for e, n in zip(exprs, texts, strict=True))
             layers.append([*outside.values(), *named])

@@ -271,45 +271,46 @@ def cover(rects: Rects, min_level, max_level, max_cells, interior: bool):
         kid_alive &= np.repeat(split, 4)
         owner, cells, alive, done, inside = kid_owner, kids, kid_alive, kid_done, kid_inside
     owner = np.concatenate([o for o, _ in found])
-    return normalize(owner, np.concatenate([i for _, i in found]))
+    return merge_siblings(owner, np.concatenate([i for _, i in found]))
 
 
 def lsb(ids):
     return ids & -ids
 
 
-def normalize(owner, ids):
-    """Sorted in cell order per owner, without nested cells, four siblings merged."""
+def _in_order(owner, ids):
     order = np.lexsort((ids.view(np.uint64), owner))
-    owner, ids = owner[order], ids[order]
-    # a cell is nested if an earlier or the next kept one spans it: compare range ends in cell order
-    for level in range(MAX_LEVEL + 1):
-        if not len(ids):
-            return owner, ids
-        bit = np.int64(1) << np.int64(2 * (MAX_LEVEL - level))
-        up = (ids & -bit) | bit
-        at = lsb(ids) == bit
-        coarse = np.rec.fromarrays([owner[at], ids[at]])
-        if len(coarse):
-            nested = (lsb(ids) < bit) & np.isin(np.rec.fromarrays([owner, up]), coarse)
-            owner, ids = owner[~nested], ids[~nested]
-    keep = np.r_[True, (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1])]
+    return owner[order], ids[order]
+
+
+def normalize(owner, ids):
+    """Sorted in cell order per owner, without copies and nested cells, four siblings merged."""
+    owner, ids = _in_order(owner, ids)
+    keep = np.r_[True, (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1])][: len(ids)]
     owner, ids = owner[keep], ids[keep]
+    present = sorted(set(lsb(ids).tolist()))
+    for bit in present[1:]:
+        at = lsb(ids) == bit
+        up = (ids & -bit) | bit
+        held = np.isin(np.rec.fromarrays([owner, up]), np.rec.fromarrays([owner[at], ids[at]]))
+        keep = ~(held & (lsb(ids) < bit))
+        owner, ids = owner[keep], ids[keep]
+    return merge_siblings(owner, ids)
+
+
+def merge_siblings(owner, ids):
+    """Four siblings -> their parent, from the finest level up; cells are disjoint, result in cell order."""
+    owner, ids = _in_order(owner, ids)
     for level in range(MAX_LEVEL, 0, -1):
         bit = np.int64(1) << np.int64(2 * (MAX_LEVEL - level))
         at = np.flatnonzero(lsb(ids) == bit)
         if len(at) < 4:
             continue
         up = (ids[at] & -(bit << 2)) | (bit << 2)
-        _, group, sizes = np.unique(
-            np.rec.fromarrays([owner[at], up]), return_inverse=True, return_counts=True
-        )
-        full = sizes[group] == 4
-        if full.any():
-            owner = np.r_[np.delete(owner, at[full]), owner[at[full]][::1]]
-            ids = np.r_[np.delete(ids, at[full]), up[full]]
-            order = np.lexsort((ids.view(np.uint64), owner))
-            owner, ids = owner[order], ids[order]
-            keep = np.r_[True, (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1])]
-            owner, ids = owner[keep], ids[keep]
+        # in cell order siblings follow each other
+        first = np.flatnonzero((up[:-3] == up[3:]) & (owner[at[:-3]] == owner[at[3:]]))
+        if len(first):
+            ids[at[first]] = up[first]
+            gone = np.concatenate([at[first + k] for k in (1, 2, 3)])
+            owner, ids = _in_order(np.delete(owner, gone), np.delete(ids, gone))
     return owner, ids

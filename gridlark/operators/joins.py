@@ -30,7 +30,10 @@ def _ancestors(df: DataFrame, cell: str, levels: list[int], out: str, only: str
 def points_in_cells(
     points: DataFrame, table: DataFrame, lat: str, lon: str, cell: str = "cell_id", **bounds: int
 ) -> DataFrame:
-    """Points with every row of ``table`` whose cell holds them (one row per pair)."""
+    """Points with every row of ``table`` whose cell holds them (one row per pair).
+
+    ``table`` is read three times (levels, size, join): store it first if it is costly.
+    """
     leaf = cells.s2_cell_id.add(points, "_leaf", lat, lon, 30).where("_leaf IS NOT NULL")
     keyed = _ancestors(leaf, "_leaf", levels_of(table, cell), cell).drop("_leaf")
     return join_large(keyed, table, [cell], **bounds)
@@ -82,8 +85,11 @@ def union_overlap_join(
     Two cells overlap only if one is an ancestor of the other or the same, so
     each side is looked up by its ancestors at the other side's levels.
     """
-    left = left.select(left_key, cell).where(f"`{cell}` IS NOT NULL").distinct()
-    right = right.select(right_key, cell).where(f"`{cell}` IS NOT NULL").distinct()
+    # each is looked at several times below: levels, size, ancestors, join
+    left, right = (
+        stored(side.select(key, cell).where(f"`{cell}` IS NOT NULL").distinct())
+        for side, key in ((left, left_key), (right, right_key))
+    )
     own = cells.level_of(f"`{cell}`")
 
     def up(side: DataFrame, key: str, levels: list[int], only: str) -> DataFrame:

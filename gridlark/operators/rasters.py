@@ -135,8 +135,6 @@ def add_value(
         f"if({inside}, _c - _c % _block_cols, NULL) AS _col0",
     ).selectExpr(*keep, "_known", "_r", "_c", "_band", "CAST(_row0 AS INT) _row0", "CAST(_col0 AS INT) _col0")
     side = tiles.selectExpr("path", "band AS _band", "row0 AS _row0", "col0 AS _col0", "cols AS _cols", "data AS _data")
-    # tiles are wide rows: broadcast only a few
-    bounds = {"broadcast_rows": 64} | bounds
     found = join_large(keyed, side, ["path", "_band", "_row0", "_col0"], "left", **bounds)
     value = f"coalesce(get(_data, (_r - _row0) * _cols + _c - _col0), {NAN})"
     return found.selectExpr(*keep, f"CASE WHEN _known THEN {value} END AS `{out}`")

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side of at most this many (narrow) rows is broadcast.
+# A side of at most this many rows and bytes is broadcast.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 << 20
 # Keys with more rows than this on the left are spread over several tasks.
 HOT_ROWS = 2_000_000
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value, about."""
+    value, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + 16
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        size = F.size(value) * 8 + 16
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(value))) + 16
+    else:
+        return F.lit(8)
+    return F.coalesce(size, F.lit(16))
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Measured, not estimated: counts no further than the bound."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` may be broadcast: measured, not estimated, and counted no further than the bound."""
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
+    found = df.select(width.alias("_w")).limit(rows + 1).agg(F.count("*").alias("n"), F.sum("_w").alias("w")).first()
+    return found.n <= rows and (found.w or 0) <= BROADCAST_BYTES
 
 
 def join_large(
@@ -26,7 +44,7 @@ def join_large(
 ) -> DataFrame:
     """``left`` joined to ``right``: broadcast if ``right`` is small, else shuffled with hot keys salted.
 
-    The keys of ``right`` rows must be narrow.  ``how``: inner, left, left_semi or left_anti.
+    ``how``: inner, left, left_semi or left_anti.
     """
     if is_small(right, broadcast_rows):
         return left.join(F.broadcast(right), on, how)

@@ -10,6 +10,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+from pyarrow.fs import LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,6 +100,8 @@ def rasters(spark: SparkSession, sf_dir: str) -> str:
     if key in _written:
         return _written[key]
     folder = scratch_folder(spark)
+    system, name = locate(folder)
+    folder = name if isinstance(system, LocalFileSystem) else folder  # as the source lists it
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,15 @@ def ship() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
+@cache
+def _own_folder() -> str:
+    """Stands in where no shared folder is named: tests and single machines."""
+    return tempfile.mkdtemp(prefix="gridlark-")
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="gridlark-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{shared.rstrip('/')}/gridlark-{uuid.uuid4().hex}"
 
 

@@ -85,7 +85,7 @@ def test_interior_properties(spark, fences, low, high, limit):
         assert all(x[1] < y[0] for x, y in zip(v, v[1:], strict=False))
 
 
-def test_counts_of_the_reference_polygon(spark):
+def test_counts_of_a_known_polygon(spark):
     df = spark.createDataFrame([(BEIJING,)], "wkt string")
     assert covering(df, "wkt", 8, 10).count() == 57
     assert interior_covering(df, "wkt", 8, 10, 64).count() == 24

@@ -55,7 +55,7 @@ def test_held_out_accuracy(spark):
 
 def test_labels_of_held_out_rows_don_t_matter(spark, docs):
     labels = [(i, int(i % 3 == 0)) for i in range(50)] + [(None, 1), (3, None), (4, 1), (4, 0)]
-    out = [zlib.crc32(str(i).encode()) % 3 == 1 for i in range(50)]
+    out = [zlib.crc32(str(i).encode()) % 3 == 1 for i in range(100)]
     other = [(i, 1 - y) if i is not None and y is not None and out[i] else (i, y) for i, y in labels]
     models = []
     for rows in (labels, other):

@@ -49,8 +49,15 @@ def shape(wkt: str) -> str:
     return text
 
 
+# Collections may hold collections, so deep.
+_NESTED = 8
+
+
 def is_geometry(wkt: str) -> str:
-    return f"{shape(wkt)} RLIKE '^(O|G|GEOMETRYCOLLECTION(ZM|Z|M)?\\\\(G(,G)*\\\\))$'"
+    text = shape(wkt)
+    for _ in range(_NESTED):
+        text = f"regexp_replace({text}, 'GEOMETRYCOLLECTION(?:ZM|Z|M)?\\\\(G(?:,G)*\\\\)', 'G')"
+    return f"{text} RLIKE '^(O|G)$'"
 
 
 def bounds(wkt: str) -> str:

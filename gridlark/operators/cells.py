@@ -9,12 +9,12 @@ from ..functions import cells
 _STRIDE = 6  # levels generated per explode: arrays of at most 4^6 ids
 
 
-def children(df: DataFrame, cell: str, level: int | str, out: str = "child_id") -> DataFrame:
+def children(df: DataFrame, cell: str, level: int | str, out: str = "child_id", deep: int = 30) -> DataFrame:
     """One row per descendant of ``cell`` at ``level``, in cell order; none if that is coarser.
 
-    Works down a few levels at a time, so no array grows with the depth.
+    Works down a few levels at a time, so no array grows with the depth.  ``deep``: no cell is further above ``level``.
     """
-    turns = -(-level // _STRIDE) if isinstance(level, int) else 5
+    turns = -(-min(deep, level if isinstance(level, int) else 30) // _STRIDE)
     keep = [f"`{c}`" for c in df.columns if c != out]
     target = f"{level}" if isinstance(level, int) else f"`{level}`"
     own = cells.level_of("_c")

@@ -22,6 +22,8 @@ LEAST_INTERIOR_CELLS = 4
 # ----------------------------------------------------------------------------------
 # No box has more than rectcover.FORCED_LIMIT cells at levels below this.
 _EASY_LEVEL = 5
+# Spark's usual size of an input partition.
+_SPLIT_BYTES = 128 << 20
 _BOX = ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
 
 
@@ -29,11 +31,29 @@ def _rects(box: pa.StructArray) -> rectcover.Rects:
     return rectcover.Rects.of_degrees(*(box.field(n).to_numpy(zero_copy_only=False) for n in _BOX))
 
 
+# Cells that a search holds at a time, about; boxes beyond it wait for the next search.
+_HELD_CELLS = 100_000
+
+
+def _parts(rects: rectcover.Rects, lo: np.ndarray, limit: np.ndarray) -> list[np.ndarray]:
+    """Boxes dealt to searches by the number of cells they are bound to hold."""
+    side = np.pi / 2 / 2.0 ** np.clip(lo, 0, 30)
+    wide = 2 * rects.half * np.cos(np.minimum(np.abs(rects.lat_lo), np.abs(rects.lat_hi)))
+    forced = (wide / side + 2) * ((rects.lat_hi - rects.lat_lo) / side + 2)
+    held = 16 + 4 * limit + np.minimum(np.where(np.isfinite(forced), forced, 0), 4 * rectcover.FORCED_LIMIT)
+    return np.split(np.arange(len(lo)), np.flatnonzero(np.diff(np.cumsum(held) // _HELD_CELLS)) + 1)
+
+
 def _cover_batch(box: pa.StructArray, lo: pa.Array, hi: pa.Array, limit: pa.Array, interior: bool):
-    levels = (a.to_numpy(zero_copy_only=False) for a in (lo, hi, limit))
-    owner, ids = rectcover.cover(_rects(box), *levels, interior)
-    ends = np.cumsum(np.bincount(owner, minlength=len(box)))
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(ids, pa.int64()))
+    rects = _rects(box)
+    levels = [a.to_numpy(zero_copy_only=False) for a in (lo, hi, limit)]
+    owners, found = [], []
+    for part in _parts(rects, levels[0], levels[2]):
+        owner, ids = rectcover.cover(rects.take(part), *(x[part] for x in levels), interior)
+        owners.append(part[owner])
+        found.append(ids)
+    ends = np.cumsum(np.bincount(np.concatenate(owners), minlength=len(box))) if len(box) else []
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(np.concatenate(found), pa.int64()))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -68,8 +88,11 @@ def _generate(df, udf, text, lo, hi, limit, out) -> DataFrame:
     keep = [c for c in df.columns if c != out]
     boxed = df.withColumn("_box", F.expr(wkt.bounds(f"`{text}`"))).where("_box IS NOT NULL")
     if not df.isStreaming:
-        # a covering costs far more than moving its row: use every core even for a small file
-        boxed = boxed.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        known = int(boxed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        if known < cores * _SPLIT_BYTES:
+            # so small a table has fewer partitions than cores, and a covering costs far more than moving its row
+            boxed = boxed.repartition(cores)
     arrays = boxed.withColumn("_ids", udf("_box", F.lit(lo), F.lit(hi), F.lit(limit)))
     return arrays.select(*keep, "_box", F.explode("_ids").alias(out))
 

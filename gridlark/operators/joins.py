@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions import cells, wkt
 from ..session import stored
-from .cells import neighbors
+from .cells import children, neighbors
 from .coverings import covering
 from .skew import join_large
 
 
+# Fence cells are brought to every third level, so a point has 11 ancestors to look up at most.
+_STEP = 3
+
+
 def levels_of(df: DataFrame, cell: str) -> list[int]:
     """The distinct levels in a column of cells (31 at most)."""
-    rows = df.select(cells.s2_cell_level(cell).alias("level")).distinct().collect()
-    return sorted(r.level for r in rows if r.level is not None)
+    rows = df.selectExpr(f"{cells.level_of(f'`{cell}`')} AS level").where(f"`{cell}` IS NOT NULL").distinct().collect()
+    return sorted(r.level for r in rows)
 
 
 def _ancestors(df: DataFrame, cell: str, levels: list[int], out: str, only: str = "true") -> DataFrame:
@@ -28,15 +32,15 @@ def _ancestors(df: DataFrame, cell: str, levels: list[int], out: str, only: str
 
 
 def points_in_cells(
-    points: DataFrame, table: DataFrame, lat: str, lon: str, cell: str = "cell_id", **bounds: int
+    points: DataFrame, table: DataFrame, lat: str, lon: str, cell: str = "cell_id"
 ) -> DataFrame:
     """Points with every row of ``table`` whose cell holds them (one row per pair).
 
-    ``table`` is read three times (levels, size, join): store it first if it is costly.
+    ``table`` is read twice (levels, join): store it first if it is costly.
     """
     leaf = cells.s2_cell_id.add(points, "_leaf", lat, lon, 30).where("_leaf IS NOT NULL")
     keyed = _ancestors(leaf, "_leaf", levels_of(table, cell), cell).drop("_leaf")
-    return join_large(keyed, table, [cell], **bounds)
+    return join_large(keyed, table, [cell])
 
 
 def points_in_fences(
@@ -48,7 +52,6 @@ def points_in_fences(
     lon: str,
     min_level: int = 0,
     max_level: int = 30,
-    **bounds: int,
 ) -> DataFrame:
     """Points with the key of every fence whose bounding box holds them.
 
@@ -56,15 +59,19 @@ def points_in_fences(
     """
     covered = covering(fences.select(fence, text), text, min_level, max_level)
     boxed = covered.withColumn("_box", F.expr(wkt.bounds(f"`{text}`"))).select(fence, "cell_id", "_box.*")
-    # looked at three times below: levels, size, join
+    # few levels: cells between them become their 4 or 16 descendants, which cover the same
+    own = cells.level_of("cell_id")
+    boxed = boxed.selectExpr("*", f"least(30, ({own} + {_STEP - 1}) DIV {_STEP} * {_STEP}) AS _goal")
+    boxed = children(boxed, "cell_id", "_goal", "_cell", _STEP).drop("cell_id", "_goal").withColumnRenamed("_cell", "cell_id")
+    # looked at twice below: levels, join
     boxed = stored(boxed)
-    pairs = points_in_cells(points, boxed, lat, lon, **bounds)
+    pairs = points_in_cells(points, boxed, lat, lon)
     inside = f"`{lat}` BETWEEN lat_lo AND lat_hi AND `{lon}` BETWEEN lon_lo AND lon_hi"
     return pairs.where(inside).select(*points.columns, fence)
 
 
 def neighbor_join(
-    left: DataFrame, right: DataFrame, cell: str, right_cell: str, how: str = "inner", **bounds: int
+    left: DataFrame, right: DataFrame, cell: str, right_cell: str, how: str = "inner"
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` in an edge-adjacent cell of the same level.
 
@@ -72,34 +79,33 @@ def neighbor_join(
     """
     around = neighbors(left, cell, right_cell)
     if how == "left_semi":
-        found = join_large(around, right.select(right_cell).distinct(), [right_cell], how, **bounds)
+        found = join_large(around, right.select(right_cell).distinct(), [right_cell], how)
         return found.drop(right_cell).distinct()
-    return join_large(around, right, [right_cell], how, **bounds)
+    return join_large(around, right, [right_cell], how)
 
 
 def union_overlap_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, cell: str = "cell_id", **bounds: int
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, cell: str = "cell_id"
 ) -> DataFrame:
     """Pairs of keys whose cell sets overlap.
 
-    Two cells overlap only if one is an ancestor of the other or the same, so
-    each side is looked up by its ancestors at the other side's levels.
+    Two cells overlap only if one is an ancestor of the other or the same.  Each side is listed by its own cells and by
+    their ancestors at the other side's levels; own cells meet the other side's ancestors in a single join.
     """
-    # each is looked at several times below: levels, size, ancestors, join
+    # looked at twice below: levels, ancestors
     left, right = (
         stored(side.select(key, cell).where(f"`{cell}` IS NOT NULL").distinct())
         for side, key in ((left, left_key), (right, right_key))
     )
     own = cells.level_of(f"`{cell}`")
 
-    def up(side: DataFrame, key: str, levels: list[int], only: str) -> DataFrame:
-        return _ancestors(side, cell, levels, "_up", only).select(key, F.col("_up").alias(cell)).distinct()
+    def listed(side: DataFrame, key: str, levels: list[int], only: str, up: int) -> DataFrame:
+        above = _ancestors(side, cell, levels, "_up", only).select(key, F.lit(up).alias("_kind"), F.col("_up").alias(cell))
+        return above.distinct().unionAll(side.select(key, F.lit(1 - up).alias("_kind"), cell))
 
-    finer_left = up(left, left_key, levels_of(right, cell), f"_level <= {own}")
-    finer_right = up(right, right_key, levels_of(left, cell), f"_level < {own}")
-    pairs = join_large(finer_left, right, [cell], **bounds).select(left_key, right_key)
-    more = join_large(finer_right, left, [cell], **bounds).select(left_key, right_key)
-    return pairs.union(more).distinct()
+    lefts = listed(left, left_key, levels_of(right, cell), f"_level <= {own}", 1)
+    rights = listed(right, right_key, levels_of(left, cell), f"_level < {own}", 0)
+    return join_large(lefts, rights, [cell, "_kind"]).select(left_key, right_key).distinct()
 
 
 def cell_density(points: DataFrame, lat: str, lon: str, levels: int | list[int]) -> DataFrame:

@@ -1,7 +1,7 @@
-"""Raster operations on the metadata, tile and pixel DataFrames of the geotiff source.
+"""Raster operations on the metadata, tile, partial and pixel DataFrames of the geotiff source.
 
-Requests name a raster by its path; they are joined to the raster tables, so a
-request for a missing file gets the stand-in value below.
+Requests name a raster by its path.  Header values come by a join to the metadata table, samples straight from the
+blocks that are asked for; a request for a missing file gets the stand-in value below.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+from ..sources.geotiff import SINGULAR, with_values
 from .skew import join_large
 
 # --- fixed values: results for a missing or unreadable file, and for bad transforms ---
@@ -27,7 +29,6 @@ MISSING = {
     "rs_stddev": "double('NaN')",
 }
 NO_POINT = "POINT(NaN NaN)"
-SINGULAR = 1e-12
 # -----------------------------------------------------------------------------------------
 FIELDS = {
     "rs_band_count": "bands",
@@ -50,23 +51,23 @@ def rs_metadata(meta: DataFrame) -> DataFrame:
     return meta.select("path", "width", "height", "bands", "crs")
 
 
-def _with_meta(requests: DataFrame, meta: DataFrame, fields: dict[str, str], **bounds: int) -> DataFrame:
+def _with_meta(requests: DataFrame, meta: DataFrame, fields: dict[str, str]) -> DataFrame:
     side = meta.selectExpr("path", *(f"{text} AS {name}" for name, text in fields.items()))
-    return join_large(requests, side, ["path"], "left", **bounds)
+    return join_large(requests, side, ["path"], "left")
 
 
-def add_metadata(requests: DataFrame, meta: DataFrame, names: list[str] | None = None, **bounds: int) -> DataFrame:
+def add_metadata(requests: DataFrame, meta: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Requests (column ``path``) with the named ``rs_*`` header values."""
     names = names or list(FIELDS)
-    joined = _with_meta(requests, meta, {n: FIELDS[n] for n in names} | {"_hit": "true"}, **bounds)
+    joined = _with_meta(requests, meta, {n: FIELDS[n] for n in names} | {"_hit": "true"})
     values = [f"if(_hit, {n}, {MISSING[n]}) AS {n}" for n in names]
     return joined.selectExpr(*(f"`{c}`" for c in requests.columns), *values)
 
 
-def add_band_statistics(requests: DataFrame, pixels: DataFrame, names: list[str] | None = None) -> DataFrame:
+def add_band_statistics(requests: DataFrame, partials: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Requests with ``rs_min``, ``rs_max``, ``rs_mean``, ``rs_stddev`` of band 1."""
     names = names or list(STATS)
-    stats = rs_stats(pixels.where("band = 1")).selectExpr("path", *(f"{STATS[n]} AS {n}" for n in names), "true AS _hit")
+    stats = rs_stats(partials.where("band = 1")).selectExpr("path", *(f"{STATS[n]} AS {n}" for n in names), "true AS _hit")
     joined = join_large(requests, stats, ["path"], "left")
     values = [f"if(_hit, {n}, {MISSING[n]}) AS {n}" for n in names]
     return joined.selectExpr(*(f"`{c}`" for c in requests.columns), *values)
@@ -105,59 +106,18 @@ def add_world_to_pixel(
 
 
 # -- pixels ----------------------------------------------------------------------------
-_GRID = {n: n for n in ("width", "height", "bands", "block_rows", "chunk_rows", "block_cols")}
-
-
-def add_value(
-    requests: DataFrame, meta: DataFrame, tiles: DataFrame, band: str, col: str, row: str,
-    out: str = "rs_value", **bounds: int,
-) -> DataFrame:
+def add_value(requests: DataFrame, band: str, col: str, row: str, out: str = "rs_value") -> DataFrame:
     """The pixel at (col, row) of a band; NaN beyond the edge or for a missing file.
 
     Bands are clamped to those there are, negative positions to 0.
     """
-    keep = [f"`{c}`" for c in requests.columns]
-    grid = _with_meta(requests, meta, {f"_{n}": n for n in _GRID}, **bounds)
-    placed = grid.selectExpr(
-        *keep,
-        f"CAST(least(greatest(`{band}`, 1), _bands) AS INT) AS _band",
-        f"CAST(greatest(`{col}`, 0) AS INT) AS _c",
-        f"CAST(greatest(`{row}`, 0) AS INT) AS _r",
-        f"`{band}` IS NOT NULL AND `{col}` IS NOT NULL AND `{row}` IS NOT NULL AND path IS NOT NULL AS _known",
-        "_width", "_height", "_block_rows", "_chunk_rows", "_block_cols",
-    )
-    # top left pixel of the tile; requests off the raster get no tile
-    top = "_r - _r % _block_rows"
-    inside = "_c < _width AND _r < _height"
-    keyed = placed.selectExpr(
-        *keep, "_known", "_r", "_c", "_band",
-        f"if({inside}, {top} + (_r % _block_rows) DIV _chunk_rows * _chunk_rows, NULL) AS _row0",
-        f"if({inside}, _c - _c % _block_cols, NULL) AS _col0",
-    ).selectExpr(*keep, "_known", "_r", "_c", "_band", "CAST(_row0 AS INT) _row0", "CAST(_col0 AS INT) _col0")
-    side = tiles.selectExpr("path", "band AS _band", "row0 AS _row0", "col0 AS _col0", "cols AS _cols", "data AS _data")
-    found = join_large(keyed, side, ["path", "_band", "_row0", "_col0"], "left", **bounds)
-    value = f"coalesce(get(_data, (_r - _row0) * _cols + _c - _col0), {NAN})"
-    return found.selectExpr(*keep, f"CASE WHEN _known THEN {value} END AS `{out}`")
-
-
-def sample_points(
-    points: DataFrame, meta: DataFrame, tiles: DataFrame, x: str, y: str, band: int = 1, out: str = "value"
-) -> DataFrame:
+    return with_values(requests, "path", band, row, col, out)
+
+
+def sample_points(points: DataFrame, x: str, y: str, band: int = 1, out: str = "value") -> DataFrame:
     """Raster values under world positions (columns ``path``, ``x``, ``y``); NaN off the raster."""
-    keep = [f"`{c}`" for c in points.columns]
-    c, r = (t.format(x=f"`{x}`", y=f"`{y}`") for t in (_PIXEL_COL, _PIXEL_ROW))
-    able = f"_gt0 IS NOT NULL AND abs({_DET}) >= {SINGULAR!r}D"
-    exact = _with_meta(points, meta, _GT).selectExpr(
-        *keep, f"if({able}, {c}, NULL) AS _x", f"if({able}, {r}, NULL) AS _y"
-    )
-    # positions left of or above the raster are off it, not clamped
-    top = (1 << 31) - 1
-    placed = exact.selectExpr(
-        *keep, f"{band} AS _b",
-        *(f"CAST(CASE WHEN {n} >= 0 AND {n} < {top} THEN floor({n}) ELSE {top} END AS INT) AS {p}"
-          for n, p in (("_x", "_c0"), ("_y", "_r0"))),
-    )
-    return add_value(placed, meta, tiles, "_b", "_c0", "_r0", out).selectExpr(*keep, f"`{out}`")
+    banded = points.withColumn("_b", F.lit(band))
+    return with_values(banded, "path", "_b", y, x, out, clamp=False, world=True).drop("_b")
 
 
 def tile_values(tiles: DataFrame) -> DataFrame:
@@ -182,7 +142,7 @@ def _finite_bounds(value: str = "value") -> tuple[Column, Column]:
     )
 
 
-def rs_stats(pixels: DataFrame, nodata: str | None = None) -> DataFrame:
+def pixel_stats(pixels: DataFrame, nodata: str | None = None) -> DataFrame:
     """``min, max, mean, stddev, count`` per (path, band) of rows with a ``value``.
 
     Every pixel counts; min and max pass over NaN, mean and population standard
@@ -200,23 +160,54 @@ def rs_stats(pixels: DataFrame, nodata: str | None = None) -> DataFrame:
     )
 
 
-def rs_histogram(pixels: DataFrame, bins: int) -> DataFrame:
+# Partials of a raster meet in groups of about its number's root: at most so many groups.
+_GROUPS = 1024
+_PARTS = "n long, low double, high double, mean double, square double"
+
+
+def _merged(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Partials of equal keys as one: counts add up, means by weight, squared deviations with the means' distance."""
+    listed = partials.groupBy(*keys).agg(F.collect_list(F.struct("n", "low", "high", "mean", "square")).alias("_l"))
+    far = "(x.mean - a.mean)"
+    both = (
+        "named_struct('n', a.n + x.n, 'low', least(a.low, x.low), 'high', greatest(a.high, x.high), "
+        f"'mean', a.mean + {far} * x.n / (a.n + x.n), "
+        f"'square', a.square + x.square + {far} * {far} * a.n * x.n / (a.n + x.n))"
+    )
+    first = "named_struct('n', _l[0].n, 'low', _l[0].low, 'high', _l[0].high, 'mean', _l[0].mean, 'square', _l[0].square)"
+    merged = listed.selectExpr(*(f"`{k}`" for k in keys), f"aggregate(slice(_l, 2, size(_l)), {first}, (a, x) -> {both}) AS _s")
+    return merged.selectExpr(*(f"`{k}`" for k in keys), "_s.*")
+
+
+def rs_stats(partials: DataFrame) -> DataFrame:
+    """``min, max, mean, stddev, count`` per (path, band) from the statistics of its blocks (mode ``partials``).
+
+    Every pixel counts; min and max pass over NaN, mean and population standard deviation become NaN with it.
+    """
+    spread = partials.withColumn("_g", F.pmod(F.xxhash64("row0", "col0"), F.lit(_GROUPS)))
+    whole = _merged(_merged(spread, ["path", "band", "_g"]), ["path", "band"])
+    return whole.selectExpr(
+        "path", "band", "low AS min", "high AS max", "mean", "sqrt(square / n) AS stddev", "n AS count"
+    )
+
+
+def rs_histogram(pixels: DataFrame, bins: int, bounds: DataFrame | None = None) -> DataFrame:
     """``value`` (bin center) and ``count`` of ``bins`` (2 or more) equal bins per (path, band).
 
     As the bins are half open, pixels equal to the maximum are in none, except on
-    a constant raster, where all are in bin 0, as NaN pixels are.
+    a constant raster, where all are in bin 0, as NaN pixels are.  ``bounds``: ``path, band, min, max``, as of
+    ``rs_stats``; without them pixels are read once more.  They are computed once and stored: a row per (path, band).
     """
     bins = max(bins, 2)
-    low, high = _finite_bounds()
-    bounds = pixels.groupBy("path", "band").agg(low.alias("_lo"), high.alias("_hi"))
-    bounds = bounds.selectExpr("path", "band", "_lo", f"(_hi - _lo) / {bins}D AS _w")
+    if bounds is None:
+        low, high = _finite_bounds()
+        bounds = pixels.groupBy("path", "band").agg(low.alias("min"), high.alias("max"))
+    bounds = stored(bounds.selectExpr("path", "band", "min AS _lo", f"(max - min) / {bins}D AS _w"))
     placed = join_large(pixels.select("path", "band", "value"), bounds, ["path", "band"])
     placed = placed.withColumnRenamed("_lo", "lo")
     bin_ = BIN.format(w="_w")
-    counted = placed.selectExpr("path", "band", "lo AS _lo", "_w", f"CAST({bin_} AS INT) AS bin", "1L AS _n")
-    # a zero row per bin, so that empty bins come out of the same aggregation
-    empty = bounds.selectExpr("path", "band", "_lo", "_w", f"explode(sequence(0, {bins - 1})) AS bin", "0L AS _n")
-    summed = counted.where(f"bin < {bins}").union(empty).groupBy("path", "band", "bin").agg(
-        F.sum("_n").alias("count"), F.first("_lo").alias("_lo"), F.first("_w").alias("_w")
-    )
-    return summed.selectExpr("path", "band", "bin", "_lo + (bin + 0.5D) * _w AS value", "count")
+    counted = placed.selectExpr("path", "band", f"CAST({bin_} AS INT) AS bin").where(f"bin < {bins}")
+    counted = counted.groupBy("path", "band", "bin").agg(F.count("*").alias("count"))
+    every = bounds.selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
+    found = every.join(counted, ["path", "band", "bin"], "left")
+    return found.selectExpr("path", "band", "bin", "_lo + (bin + 0.5D) * _w AS value", "coalesce(count, 0L) AS count")

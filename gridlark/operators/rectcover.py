@@ -235,6 +235,9 @@ def cover(rects: Rects, min_level, max_level, max_cells, interior: bool):
             order = np.lexsort((cells.ids().view(np.uint64), ~inside, owner))
             owner, cells, done, inside = owner[order], cells.take(order), done[order], inside[order]
             keep = ~inside | done | (_before(owner, inside & ~done) < budget[owner])
+            # with a budget of cells inside on hand, the boundary can add nothing
+            on_hand = count + np.bincount(owner, inside, n)
+            keep &= inside | (on_hand[owner] < budget[owner])
             room = ~done | (count[owner] + _before(owner, done.astype(np.int64)) < budget[owner])
             owner, cells, done, inside = (
                 owner[keep & room], cells.take(keep & room), done[keep & room], inside[keep & room]

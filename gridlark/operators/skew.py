@@ -1,63 +1,20 @@
-"""Equi-joins whose left side may have very frequent keys."""
+"""Equi-joins whose sides may have very frequent keys.
 
-from __future__ import annotations
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A side of at most this many rows and bytes is broadcast.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 256 << 20
-# Keys with more rows than this on the left are spread over several tasks.
-HOT_ROWS = 2_000_000
-
-
-def _width(field: T.StructField) -> Column:
-    """Bytes of a value, about."""
-    value, kind = F.col(f"`{field.name}`"), field.dataType
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        size = F.octet_length(value) + 16
-    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
-        size = F.size(value) * 8 + 16
-    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        size = F.octet_length(F.to_json(F.struct(value))) + 16
-    else:
-        return F.lit(8)
-    return F.coalesce(size, F.lit(16))
+How a join runs is left to Spark: a side that its statistics, or the shuffle that adaptive execution has just
+measured, show to be below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast; otherwise both are shuffled and
+adaptive execution splits the partitions of frequent keys of either side.  Nothing is run only to size it.
+"""
 
+from __future__ import annotations
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` may be broadcast: measured, not estimated, and counted no further than the bound."""
-    width = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
-    found = df.select(width.alias("_w")).limit(rows + 1).agg(F.count("*").alias("n"), F.sum("_w").alias("w")).first()
-    return found.n <= rows and (found.w or 0) <= BROADCAST_BYTES
+from pyspark.sql import DataFrame
 
+_NEEDED = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
 
-def join_large(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``left`` joined to ``right``: broadcast if ``right`` is small, else shuffled with hot keys salted.
 
-    ``how``: inner, left, left_semi or left_anti.
-    """
-    if is_small(right, broadcast_rows):
-        return left.join(F.broadcast(right), on, how)
-    # at most rows/hot_rows keys are hot
-    hot = left.groupBy(*on).count().where(F.col("count") > hot_rows)
-    hot = hot.select(*on, F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts"))
-    if not is_small(hot, broadcast_rows):
-        return left.join(right, on, how)
-    hot = F.broadcast(hot)
-    # same salt when a lost task runs again; copies of one row still spread over map tasks
-    salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.col("_salts"))
-    spread = left.join(hot, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
-    repeated = right.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    )
-    return spread.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
+def join_large(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined to ``right``.  ``how``: inner, left, left_semi or left_anti."""
+    conf = left.sparkSession.conf
+    if any(conf.get(name) != "true" for name in _NEEDED):
+        raise ValueError(f"frequent keys need {' and '.join(_NEEDED)}")
+    return left.join(right, on, how)

@@ -10,10 +10,9 @@ from pyspark.sql import types as T
 
 from ..functions import cells, unions
 from . import rectcover
-from .skew import is_small
 
-# About this many cells per blob (8 bytes each); larger groups come in several parts.
-MAX_CELLS = 1_000_000
+# A blob is made by way of 16 hex digits per cell in one text.
+MOST_CELLS = (1 << 31) // 16 - 16
 
 
 def _in_cell_order(ids: str) -> str:
@@ -21,40 +20,26 @@ def _in_cell_order(ids: str) -> str:
     return f"transform(array_sort(transform({ids}, c -> {key})), c -> {key})"
 
 
-def cell_union_agg(
-    df: DataFrame, by: list[str], cell: str, out: str = "cells", max_cells: int = MAX_CELLS
-) -> DataFrame:
-    """One union blob per group, its cells sorted, copies kept: columns ``by``, ``part``, ``out``.
+def cell_union_counts(df: DataFrame, by: list[str], cell: str) -> DataFrame:
+    """The cells of each group's union, copies counted: columns ``by``, ``cell``, ``n``.  Gathers no group."""
+    return df.where(f"`{cell}` IS NOT NULL").groupBy(*by, cell).agg(F.count("*").alias("n"))
 
-    ``part`` is 0.  A group with more than ``max_cells`` cells comes as several
-    rows (parts 0, 1, ..) that together hold its cells, so that no task gathers
-    an unbounded group.
+
+def cell_union_agg(df: DataFrame, by: list[str], cell: str, out: str = "cells") -> DataFrame:
+    """One union blob per group, its cells sorted, copies kept: columns ``by``, ``out``.
+
+    A blob is one value, so a group with more than ``MOST_CELLS`` cells raises an error; ``cell_union_counts`` has no
+    such bound.
     """
     if not by:
-        return cell_union_agg(df.withColumn("_all", F.lit(0)), ["_all"], cell, out, max_cells).drop("_all")
-    counts = df.where(f"`{cell}` IS NOT NULL").groupBy(*by, F.col(cell).alias("_c")).agg(F.count("*").alias("_n"))
-    # at most rows/max_cells groups are large
-    large = counts.groupBy(*by).agg(F.sum("_n").alias("_total")).where(F.col("_total") > max_cells)
-    large = large.select("_total", *(F.col(k).alias(f"_by_{k}") for k in by))
-    large = F.broadcast(large) if is_small(large) else large
-    same = [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by]
-    sized = counts.join(large, same, "left").select(*by, "_c", "_n", "_total")
-    # copies of one cell in pieces, pieces spread over parts filled by half
-    piece = max(max_cells // 16, 1)
-    pieces = sized.selectExpr(
-        *(f"`{k}`" for k in by), "_c", "_n", "_total",
-        f"explode(sequence(0L, if(_total IS NULL, 0L, (_n - 1) DIV {piece}))) AS _p",
-    )
-    parted = pieces.selectExpr(
-        *(f"`{k}`" for k in by), "_c",
-        f"if(_total IS NULL, _n, least({piece}L, _n - _p * {piece})) AS _m",
-        f"CAST(coalesce(pmod(xxhash64(_c, _p), _total DIV {max(max_cells // 2, 1)} + 1), 0L) AS INT) AS part",
-    )
-    gathered = parted.groupBy(*by, "part").agg(F.collect_list(F.struct("_c", "_m")).alias("_l"))
-    ids = _in_cell_order("flatten(transform(_l, x -> array_repeat(x._c, CAST(x._m AS INT))))")
-    return gathered.selectExpr(*(f"`{k}`" for k in by), "part", f"{ids} AS _ids").select(
-        *by, "part", unions.s2_cell_union_of("_ids").alias(out)
-    )
+        return cell_union_agg(df.withColumn("_all", F.lit(0)), ["_all"], cell, out).drop("_all")
+    counts = cell_union_counts(df, by, cell).withColumnRenamed(cell, "_c")
+    held = counts.groupBy(*by).agg(F.collect_list(F.struct("_c", "n")).alias("_l"), F.sum("n").alias("_total"))
+    ids = _in_cell_order("flatten(transform(_l, x -> array_repeat(x._c, CAST(x.n AS INT))))")
+    too_many = f"raise_error(concat('a union of ', _total, ' cells is no blob: use cell_union_counts'))"
+    keep = [f"`{k}`" for k in by]
+    sized = held.selectExpr(*keep, f"if(_total > {MOST_CELLS}, CAST({too_many} AS ARRAY<BIGINT>), {ids}) AS _ids")
+    return sized.select(*by, unions.s2_cell_union_of("_ids").alias(out))
 
 
 def explode_union(df: DataFrame, blob: str, out: str = "cell_id") -> DataFrame:
@@ -65,11 +50,12 @@ def explode_union(df: DataFrame, blob: str, out: str = "cell_id") -> DataFrame:
 
 def cell_union_area(df: DataFrame, by: list[str], blob: str, out: str = "area_m2") -> DataFrame:
     """Area of unions per key (stored cells summed, copies count each time)."""
-    cell = explode_union(df.select(*by, blob), blob, "_c")
+    ids = unions.s2_cell_union_unpack(blob)
+    # an empty union keeps its row, without a cell
+    cell = df.select(*by, F.col(blob).isNotNull().alias("_any"), F.explode_outer(ids).alias("_c"))
     area = cells.s2_area_m2.add(cell, "_a", "_c", cells.level_of("_c"))
-    # a zero per blob, so that empty unions keep their row
-    zeros = df.select(*by, F.when(F.col(blob).isNotNull(), F.lit(0.0)).alias("_a"))
-    return area.select(*by, "_a").union(zeros).groupBy(*by).agg(F.sum("_a").alias(out))
+    total = F.when(F.max("_any"), F.coalesce(F.sum("_a"), F.lit(0.0)))
+    return area.groupBy(*by).agg(total.alias(out))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))

@@ -7,6 +7,8 @@ positions off cell and face borders.
 from __future__ import annotations
 
 import struct
+import uuid
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -25,8 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def points(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
+        *more,
         "event_id AS id",
         "CAST((event_id * 7919) % 16800 AS DOUBLE) / 100D - 84D + 0.00317D AS lat",
         "CAST((event_id * 104729) % 35900 AS DOUBLE) / 100D - 179.5D + 0.00713D AS lon",
@@ -54,38 +57,68 @@ def fences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corners.selectExpr("fence", f"concat('POLYGON((', {text}, '))') AS wkt")
 
 
-def _geotiff(data: np.ndarray, tie: tuple, scale: tuple, epsg: int, nodata: str | None) -> bytes:
-    """A raw little-endian GeoTIFF with one strip: data (rows, cols, bands) of float32."""
+def _packed_bits(data: bytes) -> bytes:
+    """PackBits with literal runs only."""
+    return b"".join(bytes([len(data[k : k + 128]) - 1]) + data[k : k + 128] for k in range(0, len(data), 128))
+
+
+def _geotiff(data: np.ndarray, tie: tuple, scale: tuple, epsg: int, nodata: str | None, layout: int) -> bytes:
+    """A GeoTIFF of data (rows, cols, bands); the layout number picks how samples are stored, not their values."""
     rows, cols, bands = data.shape
-    entries: list[tuple[int, int, int, bytes]] = [
-        (256, 3, 1, struct.pack("<H", cols)),
-        (257, 3, 1, struct.pack("<H", rows)),
-        (258, 3, bands, struct.pack(f"<{bands}H", *[32] * bands)),
-        (259, 3, 1, struct.pack("<H", 1)),
-        (262, 3, 1, struct.pack("<H", 1)),
-        (273, 4, 1, struct.pack("<I", 8)),
-        (277, 3, 1, struct.pack("<H", bands)),
-        (278, 3, 1, struct.pack("<H", rows)),
-        (279, 4, 1, struct.pack("<I", data.size * 4)),
-        (339, 3, bands, struct.pack(f"<{bands}H", *[3] * bands)),
-        (33550, 12, 3, struct.pack("<3d", *scale, 0.0)),
-        (33922, 12, 6, struct.pack("<6d", 0, 0, 0, *tie, 0.0)),
-        (34735, 3, 8, struct.pack("<8H", 1, 1, 0, 1, 2048 if epsg == 4326 else 3072, 0, 1, epsg)),
-    ]
+    order = ">" if layout % 5 == 2 else "<"
+    size = 8 if layout % 3 == 1 else 4
+    tiled, planar = layout % 2 == 1, layout % 4 == 3
+    compression = (1, 8, 32773, 8)[layout % 4]
+    predictor = 3 if compression == 8 and layout % 8 >= 4 else 1
+    high, wide = (16, 32) if tiled else (rows if layout % 3 == 0 else 9, cols)
+    whole = np.zeros((-(-rows // high) * high, -(-cols // wide) * wide, bands), f"{order}f{size}")
+    whole[:rows, :cols] = data
+    blocks = []
+    for planes in [whole[..., b : b + 1] for b in range(bands)] if planar else [whole]:
+        for r in range(0, whole.shape[0], high):
+            for c in range(0, whole.shape[1], wide):
+                block = planes[r : r + high if tiled else min(r + high, rows), c : c + wide]
+                if predictor == 3:  # a row's bytes, most significant first, as differences
+                    wide_bytes = block.astype(f">f{size}").view(np.uint8).reshape(len(block), -1, size)
+                    moved = wide_bytes.transpose(0, 2, 1).reshape(len(block), -1, block.shape[2])
+                    raw = np.diff(moved, axis=1, prepend=np.zeros_like(moved[:, :1])).tobytes()
+                else:
+                    raw = block.tobytes()
+                blocks.append({1: bytes, 8: zlib.compress, 32773: _packed_bits}[compression](raw))
+    places = np.cumsum([8, *map(len, blocks)])[:-1]
+
+    def shorts(*values: int) -> tuple[int, int, bytes]:
+        return 3, len(values), struct.pack(f"{order}{len(values)}H", *values)
+
+    def longs(values) -> tuple[int, int, bytes]:
+        return 4, len(values), struct.pack(f"{order}{len(values)}I", *values)
+
+    def doubles(*values: float) -> tuple[int, int, bytes]:
+        return 12, len(values), struct.pack(f"{order}{len(values)}d", *values)
+
+    tags = {
+        256: shorts(cols), 257: shorts(rows), 258: shorts(*[8 * size] * bands), 259: shorts(compression), 262: shorts(1),
+        277: shorts(bands), 284: shorts(2 if planar else 1), 317: shorts(predictor), 339: shorts(*[3] * bands),
+        33550: doubles(*scale, 0.0), 33922: doubles(0, 0, 0, *tie, 0.0),
+        34735: shorts(1, 1, 0, 1, 2048 if epsg == 4326 else 3072, 0, 1, epsg),
+    }
+    sizes = longs([len(x) for x in blocks])
+    tags |= {322: shorts(wide), 323: shorts(high), 324: longs(places), 325: sizes} if tiled else {273: longs(places), 278: shorts(high), 279: sizes}
     if nodata is not None:
-        text = nodata.encode() + b"\0"
-        entries.append((42113, 2, len(text), text))
-    body = data.astype("<f4").tobytes()
+        tags[42113] = (2, len(nodata) + 1, nodata.encode() + b"\0")
+    body = b"".join(blocks)
+    body += b"\0" * (len(body) % 2)
     at = 8 + len(body)
-    directory, extra = struct.pack("<H", len(entries)), b""
-    beyond = at + 2 + 12 * len(entries) + 4
-    for tag, kind, count, value in entries:
+    directory, extra = struct.pack(f"{order}H", len(tags)), b""
+    beyond = at + 2 + 12 * len(tags) + 4
+    for tag, (kind, count, value) in sorted(tags.items()):
         place = value.ljust(4, b"\0")
         if len(value) > 4:
-            place = struct.pack("<I", beyond + len(extra))
+            place = struct.pack(f"{order}I", beyond + len(extra))
             extra += value + b"\0" * (len(value) % 2)
-        directory += struct.pack("<HHI", tag, kind, count) + place
-    return b"II*\0" + struct.pack("<I", at) + body + directory + struct.pack("<I", 0) + extra
+        directory += struct.pack(f"{order}HHI", tag, kind, count) + place
+    head = struct.pack(f"{order}2sHI", b"II" if order == "<" else b"MM", 42, at)
+    return head + body + directory + struct.pack(f"{order}I", 0) + extra
 
 
 _written: dict[tuple[str, str], str] = {}
@@ -94,7 +127,9 @@ _written: dict[tuple[str, str], str] = {}
 def rasters(spark: SparkSession, sf_dir: str) -> str:
     """Folder of GeoTIFF files written from ``embeddings`` by a Spark job.
 
-    Raster n holds vectors 64n .. 64n+63: band 1 the vector, band 2 its label plus column modulo 5.
+    Raster n holds vectors 64n .. 64n+63: band 1 the vector, band 2 its label plus column modulo 5.  Files differ in
+    byte order, sample size, strips and tiles, planes, compression and predictor.  A folder is written once per
+    application; reading it again costs no write.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _written:
@@ -116,11 +151,14 @@ def rasters(spark: SparkSession, sf_dir: str) -> str:
             (0.25, 0.5 + n % 3),
             4326 if even else 32600 + n % 60,
             "-9999" if even else None,
+            n,
         )
         system, name = locate(folder)
         system.create_dir(name, recursive=True)
-        with system.open_output_stream(f"{name}/r{n}.tif") as out:
+        # under its own name only when whole: a task may run again, or be cut off
+        with system.open_output_stream(part := f"{name}/r{n}.{uuid.uuid4().hex}") as out:
             out.write(content)
+        system.move(part, f"{name}/r{n}.tif")
         return pd.DataFrame({"n": [n]})
 
     # vec_id is a key, so a group is at most ROWS_PER_RASTER rows

@@ -290,6 +290,96 @@ FENCES: Ctes = [
     ),
 ]
 
+LIST_LEVEL = 7
+
+
+def _fence_cells(inside: bool) -> str:
+    """All cells of a level with their corners, against the fences: a cell lies in a box with all its corners (its edges
+    run between them in latitude and longitude), and meets it if a corner or its center is in the box, a corner of the
+    box is in the cell, or an edge, part of a great circle, reaches a side of constant latitude between its ends."""
+    level = bit(str(LIST_LEVEL))
+    corners = [("pu0", "pv0"), ("pu1", "pv0"), ("pu1", "pv1"), ("pu0", "pv1")]
+    ctes: Ctes = [
+        *FENCES,
+        (
+            "all_cells",
+            f"SELECT (CASE WHEN f >= 4 THEN f - 8 ELSE f END)::BIGINT * {TOP} + (2 * k + 1) * {level} AS cell "
+            f"FROM range(6) a(f), range({4**LIST_LEVEL}) b(k)",
+        ),
+        *decode("all_cells", "p", "cell"),
+        *bounds("p"),
+    ]
+    src = "p_bound"
+    for k, (u, v) in enumerate(corners):
+        ctes += face_xyz(src, f"corner{k}", "pf", u, v, f"k{k}")
+        src = f"corner{k}"
+    lat = [f"degrees(atan2(k{k}z, sqrt(k{k}x * k{k}x + k{k}y * k{k}y)))" for k in range(4)]
+    lon = [f"degrees(atan2(k{k}y, k{k}x))" for k in range(4)]
+    named = ", ".join([*(f"{t} AS lat{k}" for k, t in enumerate(lat)), *(f"{t} AS lon{k}" for k, t in enumerate(lon))])
+    ctes.append(("placed", f"SELECT *, {named} FROM {src}"))
+    low_lat, high_lat = "least(lat0, lat1, lat2, lat3)", "greatest(lat0, lat1, lat2, lat3)"
+    low_lon, high_lon = "least(lon0, lon1, lon2, lon3)", "greatest(lon0, lon1, lon2, lon3)"
+    if inside:
+        return sql(
+            ctes,
+            f"SELECT fence, cell AS cell_id FROM placed JOIN ordered ON {low_lat} >= lat_lo AND {high_lat} <= lat_hi "
+            f"AND {low_lon} >= lon_lo AND {high_lon} <= lon_hi",
+        )
+    ctes.append(
+        (
+            "near_",
+            f"SELECT * FROM placed JOIN ordered ON {low_lat} - 0.1e0 <= lat_hi AND {high_lat} + 0.1e0 >= lat_lo "
+            f"AND {low_lon} - 0.1e0 <= lon_hi AND {high_lon} + 0.1e0 >= lon_lo",
+        )
+    )
+    corner_in = " OR ".join(f"(lat{k} BETWEEN lat_lo AND lat_hi AND lon{k} BETWEEN lon_lo AND lon_hi)" for k in range(4))
+    ctes.append(("first_", f"SELECT *, {corner_in} AS hit FROM near_"))
+    ctes.append(
+        (
+            "box_corners",
+            "SELECT fence, cos(radians(la)) * cos(radians(lo)) AS x, cos(radians(la)) * sin(radians(lo)) AS y, "
+            "sin(radians(la)) AS z FROM (SELECT fence, unnest([lat_lo, lat_lo, lat_hi, lat_hi]) AS la, "
+            "unnest([lon_lo, lon_hi, lon_lo, lon_hi]) AS lo FROM ordered)",
+        )
+    )
+    d = case("pf", "x", "y", "z", "-x", "-y", "-z")
+    u = case("pf", "y", "-x", "-x", "-z", "-z", "y")
+    v = case("pf", "z", "z", "-y", "-y", "x", "x")
+    ctes.append(
+        (
+            "held",
+            f"SELECT DISTINCT fence, cell FROM (SELECT fence, cell, pu0, pu1, pv0, pv1, {d} AS d, {u} AS u, {v} AS v "
+            "FROM first_ JOIN box_corners USING (fence)) WHERE d > 0 AND u / d BETWEEN pu0 AND pu1 AND v / d BETWEEN pv0 AND pv1",
+        )
+    )
+    # ends a and b of each edge, its plane's normal n, and the two points of that circle at the latitude of a side
+    edges = " UNION ALL ".join(
+        f"SELECT fence, cell, lon_lo, lon_hi, side, k{a}x AS ax, k{a}y AS ay, k{a}z AS az, k{b}x AS bx, k{b}y AS by_, k{b}z AS bz "
+        "FROM (SELECT *, unnest([lat_lo, lat_hi]) AS side FROM first_ WHERE NOT hit)"
+        for a, b in ((0, 1), (1, 2), (2, 3), (3, 0))
+    )
+    ctes += [
+        ("edges", edges),
+        ("planes", "SELECT *, ay * bz - az * by_ AS nx, az * bx - ax * bz AS ny, ax * by_ - ay * bx AS nz, sin(radians(side)) AS s FROM edges"),
+        ("roots", "SELECT *, nx * nx + ny * ny AS h, (1 - s * s) - (nz * s) * (nz * s) / (nx * nx + ny * ny) AS r FROM planes"),
+        (
+            "crossings",
+            "SELECT *, -nz * s * nx / h - g * ny * sqrt(r) / sqrt(h) AS x, -nz * s * ny / h + g * nx * sqrt(r) / sqrt(h) AS y "
+            "FROM (SELECT *, unnest([-1, 1]) AS g FROM roots WHERE r >= 0)",
+        ),
+        (
+            "reached",
+            "SELECT DISTINCT fence, cell FROM crossings WHERE degrees(atan2(y, x)) BETWEEN lon_lo AND lon_hi "
+            "AND (ay * s - az * y) * nx + (az * x - ax * s) * ny + (ax * y - ay * x) * nz >= 0 "
+            "AND (y * bz - s * by_) * nx + (s * bx - x * bz) * ny + (x * by_ - y * bx) * nz >= 0",
+        ),
+    ]
+    return sql(
+        ctes,
+        "SELECT fence, cell AS cell_id FROM first_ WHERE hit UNION SELECT fence, cell FROM held UNION SELECT fence, cell FROM reached",
+    )
+
+
 # -- rasters: derived from embeddings as the files are ------------------------------------
 FILES: Ctes = [
     ("files", "SELECT vec_id // 64 AS n, count(*) AS height FROM embeddings GROUP BY 1"),
@@ -411,6 +501,20 @@ ORACLE: dict[str, str] = {
         f"SELECT id, {low('cell')} - 1 + {bit('8')} * (2 * k + 1) AS child_id FROM n",
     ),
     "s2_cell_neighbors": sql([*cells(), *neighbors("tagged", "cell")], "SELECT id, neighbor_id FROM near"),
+    "s2_covering_level": _fence_cells(inside=False),
+    "s2_interior_covering_level": _fence_cells(inside=True),
+    "s2_covering_points": sql(
+        [*POINTS, *FENCES],
+        "SELECT id, fence FROM points JOIN ordered ON lat BETWEEN lat_lo AND lat_hi AND lon BETWEEN lon_lo AND lon_hi",
+    ),
+    "s2_interior_covering_points": sql(FENCES, "SELECT fence, 0::BIGINT AS n_outside FROM ordered"),
+    "s2_bounds_of_collections": sql(
+        FENCES,
+        "SELECT fence, CASE WHEN fence % 5 <> 1 THEN least(lat_lo, 0) END AS lat_lo, "
+        "CASE WHEN fence % 5 <> 1 THEN greatest(lat_hi, 3) END AS lat_hi, "
+        "CASE WHEN fence % 5 <> 1 THEN least(lon_lo, 0) END AS lon_lo, "
+        "CASE WHEN fence % 5 <> 1 THEN greatest(lon_hi, 3) END AS lon_hi FROM ordered",
+    ),
     "s2_cell_union_pack": sql(
         UNIONS,
         f"SELECT id, '03000000' || {little_endian('cell')} || {little_endian('other')} || {little_endian('cell')} "
@@ -455,10 +559,21 @@ ORACLE: dict[str, str] = {
                 + "), '' ORDER BY cell < 0, cell) AS body FROM tagged JOIN events ON id = event_id GROUP BY 1",
             ),
         ],
-        "SELECT event_type, 0 AS part, CAST(4 + 8 * n AS INTEGER) AS n_bytes, md5("
+        "SELECT event_type, CAST(4 + 8 * n AS INTEGER) AS n_bytes, md5("
         + " || ".join(f"substr(lpad(upper(to_hex(n)), 8, '0'), {k}, 2)" for k in (7, 5, 3, 1))
         + " || body) AS digest FROM g",
     ),
+    "cell_union_counts": sql(
+        cells("6"), "SELECT event_type, cell, count(*) AS n FROM tagged JOIN events ON id = event_id GROUP BY 1, 2"
+    ),
+    "s2_cell_union_unpack": sql(
+        UNIONS, "SELECT id, unnest([0, 1, 2]) AS place, unnest([cell, other, cell]) AS cell FROM two"
+    ),
+    "cell_union_normalize": sql(
+        [*cells("3 + id % 5"), ("q", "SELECT id, cell, (cell & -cell) // 4 AS s FROM tagged")],
+        "SELECT id, cell FROM q WHERE id % 3 < 2 UNION ALL "
+        "SELECT id, cell + unnest([-3, -1, 1]) * s AS cell FROM q WHERE id % 3 = 2",
+    ),
     "s2_point_in_cells_join": sql(
         [
             *POINTS,
@@ -539,6 +654,11 @@ ORACLE: dict[str, str] = {
         "SELECT 'r' || n || '.tif' AS file, band, round(min(value), 6) AS min, round(max(value), 6) AS max, "
         "round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS stddev, count(*) AS count FROM pixels GROUP BY n, band",
     ),
+    "rs_stats_without_nodata": sql(
+        PIXELS,
+        "SELECT 'r' || n || '.tif' AS file, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean, "
+        "round(stddev_pop(value), 6) AS stddev, count(*) AS count FROM pixels WHERE band = 2 AND value <> 4 GROUP BY n",
+    ),
     "rs_histogram": sql(
         [
             *PIXELS,

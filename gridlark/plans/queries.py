@@ -12,6 +12,7 @@ from ..operators import coverings, joins, rasters
 from ..operators import unions as union_ops
 from ..operators.cells import children, neighbors
 from ..sources.geotiff import read_geotiff
+from ..session import stored
 from . import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +132,51 @@ def s2_interior_covering(spark: SparkSession, sf: str) -> DataFrame:
     return coverings.interior_covering(derived.fences(spark, sf), "wkt", 4, 10, 20).select("fence", "cell_id")
 
 
+# Level at which coverings are listed cell by cell; its cells are smaller than the fences.
+LIST_LEVEL = 7
+
+
+@query
+def s2_covering_level(spark: SparkSession, sf: str) -> DataFrame:
+    """All cells of one level that meet each fence: a set without choices."""
+    return coverings.covering(derived.fences(spark, sf), "wkt", LIST_LEVEL, LIST_LEVEL).select("fence", "cell_id")
+
+
+@query
+def s2_interior_covering_level(spark: SparkSession, sf: str) -> DataFrame:
+    """All cells of one level that lie in each fence."""
+    fences = derived.fences(spark, sf)
+    return coverings.interior_covering(fences, "wkt", LIST_LEVEL, LIST_LEVEL, 10_000).select("fence", "cell_id")
+
+
+@query
+def s2_covering_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Points in a fence that its covering holds: all points in the fence, each once."""
+    covered = coverings.covering(derived.fences(spark, sf), "wkt", 4, 10)
+    boxed = covered.withColumn("_box", F.expr(wkt.bounds("wkt"))).select("fence", "cell_id", "_box.*")
+    pairs = joins.points_in_cells(derived.points(spark, sf), stored(boxed), "lat", "lon")
+    return pairs.where("lat BETWEEN lat_lo AND lat_hi AND lon BETWEEN lon_lo AND lon_hi").select("id", "fence")
+
+
+@query
+def s2_interior_covering_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Points that an interior covering holds but whose fence doesn't: none, so a row per fence with zero."""
+    inner = coverings.interior_covering(derived.fences(spark, sf), "wkt", 4, 10, 20)
+    boxed = stored(inner.withColumn("_box", F.expr(wkt.bounds("wkt"))).select("fence", "cell_id", "_box.*"))
+    pairs = joins.points_in_cells(derived.points(spark, sf), boxed, "lat", "lon")
+    outside = F.expr("NOT (lat BETWEEN lat_lo AND lat_hi AND lon BETWEEN lon_lo AND lon_hi)").cast("bigint")
+    wrong = pairs.groupBy("fence").agg(F.sum(outside).alias("n"))
+    return derived.fences(spark, sf).join(wrong, "fence", "left").selectExpr("fence", "coalesce(n, 0L) AS n_outside")
+
+
+@query
+def s2_bounds_of_collections(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounding boxes of fences nested in geometry collections, every fifth one spoilt."""
+    nested = "concat('GEOMETRYCOLLECTION(POINT(0 0), GEOMETRYCOLLECTION(', wkt, ', LINESTRING(1 1, 2 2)), POINT(3 3)', if(fence % 5 = 1, '', ')'))"
+    boxed = derived.fences(spark, sf).selectExpr("fence", f"{nested} AS wkt")
+    return boxed.withColumn("_box", F.expr(wkt.bounds("wkt"))).select("fence", "_box.*")
+
+
 # -- unions ----------------------------------------------------------------------------
 def _tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Per event, the tokens of its level 8 cell and of a cell elsewhere, twice, and a blank."""
@@ -172,10 +218,36 @@ def s2_cell_union_area(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cell_union_agg(spark: SparkSession, sf: str) -> DataFrame:
     """One sorted union per event type."""
-    kinds = derived.table(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type")
-    cell = _cells(spark, sf, "6").select("id", "cell").join(kinds, "id")
-    blob = union_ops.cell_union_agg(cell, ["event_type"], "cell")
-    return blob.selectExpr("event_type", "part", "octet_length(cells) AS n_bytes", "md5(hex(cells)) AS digest")
+    blob = union_ops.cell_union_agg(_typed(spark, sf), ["event_type"], "cell")
+    return blob.selectExpr("event_type", "octet_length(cells) AS n_bytes", "md5(hex(cells)) AS digest")
+
+
+def _typed(spark: SparkSession, sf: str) -> DataFrame:
+    points = derived.points(spark, sf, "event_type")
+    return cells.s2_cell_id.add(points, "cell", "lat", "lon", 6).select("event_type", "cell")
+
+
+@query
+def cell_union_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same unions as rows: how often each cell occurs."""
+    return union_ops.cell_union_counts(_typed(spark, sf), ["event_type"], "cell")
+
+
+@query
+def s2_cell_union_unpack(spark: SparkSession, sf: str) -> DataFrame:
+    blob = unions.s2_cell_union_pack.add(_tokens(spark, sf), "cells", "csv")
+    return blob.select("id", F.posexplode(unions.s2_cell_union_unpack("cells")).alias("place", "cell"))
+
+
+@query
+def cell_union_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    """Per event, a cell, its four children and a grandchild elsewhere: nested, doubled and mergeable."""
+    cell = _cells(spark, sf, "3 + id % 5")
+    lsb = cells.lsb("cell")
+    below = f"transform(array(-3, -1, 1, 3), k -> cell + k * ({lsb} DIV 4))"
+    ids = f"CASE id % 3 WHEN 0 THEN concat({below}, array(cell + {lsb} DIV 4)) WHEN 1 THEN array(cell, cell, cell - {lsb} DIV 4) ELSE slice({below}, 1, 3) END"
+    made = cell.selectExpr("id", f"{ids} AS ids")
+    return made.select("id", F.explode(union_ops.cell_union_normalize("ids")).alias("cell"))
 
 
 # -- joins -----------------------------------------------------------------------------
@@ -249,9 +321,8 @@ _header_query("rs_nodata", "if(isnan(rs_nodata), NULL, rs_nodata)")
 
 @query
 def rs_value(spark: SparkSession, sf: str) -> DataFrame:
-    folder, meta = _meta(spark, sf)
-    requests = derived.pixel_requests(spark, sf, folder)
-    found = rasters.add_value(requests, meta, read_geotiff(spark, folder), "band", "col", "row")
+    requests = derived.pixel_requests(spark, sf, derived.rasters(spark, sf))
+    found = rasters.add_value(requests, "band", "col", "row")
     return found.selectExpr("id", "if(isnan(rs_value), NULL, rs_value) AS value")
 
 
@@ -275,39 +346,44 @@ def rs_world_to_pixel(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def rs_sample_points(spark: SparkSession, sf: str) -> DataFrame:
     """Raster values under world positions."""
-    folder, meta = _meta(spark, sf)
-    requests = derived.pixel_requests(spark, sf, folder)
+    requests = derived.pixel_requests(spark, sf, derived.rasters(spark, sf))
     n = "CAST(regexp_extract(path, 'r([0-9]+).tif$', 1) AS BIGINT)"
     world = requests.selectExpr(
         "id", "path", f"10D * {n} + 0.5D + (col + 0.5D) * 0.25D AS x", f"60D - {n} - (row + 0.5D) * (0.5D + {n} % 3) AS y"
     )
-    found = rasters.sample_points(world, meta, read_geotiff(spark, folder), "x", "y", 1)
+    found = rasters.sample_points(world, "x", "y", 1)
     return found.selectExpr("id", "if(isnan(value), NULL, value) AS value")
 
 
-def _values(spark: SparkSession, sf: str) -> DataFrame:
-    return rasters.tile_values(read_geotiff(spark, derived.rasters(spark, sf)))
-
-
 @query
 def rs_stats(spark: SparkSession, sf: str) -> DataFrame:
-    stats = rasters.rs_stats(_values(spark, sf))
+    stats = rasters.rs_stats(read_geotiff(spark, derived.rasters(spark, sf), "partials"))
     rounded = (f"round({n}, 6) AS {n}" for n in ("min", "max", "mean", "stddev"))
     return _named(stats, "band", *rounded, "count")
 
 
 @query
 def rs_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    bins = rasters.rs_histogram(_values(spark, sf), 16)
+    folder = derived.rasters(spark, sf)
+    bounds = rasters.rs_stats(read_geotiff(spark, folder, "partials"))
+    bins = rasters.rs_histogram(rasters.tile_values(read_geotiff(spark, folder)), 16, bounds)
     return _named(bins, "band", "bin", "round(value, 6) AS value", "count")
 
 
+@query
+def rs_stats_without_nodata(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of all pixels but those of one value: the label part of band 2."""
+    pixels = rasters.tile_values(read_geotiff(spark, derived.rasters(spark, sf), bands="2"))
+    stats = rasters.pixel_stats(pixels.withColumn("nodata", F.lit(4.0)), "nodata")
+    return _named(stats, "min", "max", "round(mean, 6) AS mean", "round(stddev, 6) AS stddev", "count")
+
+
 def _band_query(name: str) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         folder = derived.rasters(spark, sf)
         requests = derived.pixel_requests(spark, sf, folder)
-        values = rasters.tile_values(read_geotiff(spark, folder, bands="1"))
-        found = rasters.add_band_statistics(requests, values, [name])
+        partials = read_geotiff(spark, folder, "partials", bands="1")
+        found = rasters.add_band_statistics(requests, partials, [name])
         rounded = f"if(isnan({name}) OR abs({name}) = double('Infinity'), NULL, round({name}, 6)) AS {name}"
         return found.selectExpr("id", rounded)
 

@@ -5,59 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import functions
-from .functions import cells, wkt
+from .functions import cells, vectorized, wkt
 from .operators import coverings, rasters
-from .sources.geotiff import GeoTiff
-
-
-_GRID = (
-    "STRUCT<bands: INT, width: INT, height: INT, block_rows: INT, chunk_rows: INT, block_cols: INT>"
-)
+from .sources.geotiff import GeoTiff, value_at
 
 
 def _define(spark: SparkSession, head: str, body: str) -> None:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
 
 
+# Levels that one step down generates: arrays of at most 4 ** 6 ids.
+_STRIDE = 6
+
+
+def _descended(inner: str, keep: str, level: str) -> str:
+    """Query of all descendants ``c`` at ``level`` of the cells ``c`` of a query, a few levels at a time."""
+    own, bit = cells.level_of("c"), cells.lsb("c")
+    for _ in range(30 // _STRIDE):
+        target = cells.level_lsb(f"least({level}, {own} + {_STRIDE})")
+        run = f"sequence(c - ({bit} - {target}), c + ({bit} - {target}), 2 * {target})"
+        inner = f"SELECT {keep}explode({run}) AS c FROM ({inner})"
+    return inner
+
+
 def register(spark: SparkSession) -> None:
     """The ``s2_*`` functions, as SQL functions; the generators can follow LATERAL."""
     for formula in functions.ALL:
         formula.register(spark)
+    for name, udf in vectorized.BY_NAME.items():
+        spark.udf.register(name, udf)
     spark.dataSource.register(GeoTiff)
     spark.udf.register("s2_covering_cells", coverings._covering_cells)
     spark.udf.register("s2_interior_cells", coverings._interior_cells)
+    spark.udf.register("s2_box_meets_cell", coverings._box_meets_cell)
     levels = "min_level INT, max_level INT"
-    own = cells.level_of("c")
-
-    def split(ids: str, low: str) -> str:
-        """Cells no coarser than the wanted level."""
-        arrays = f"SELECT explode({ids}) AS c"
-        target = cells.level_lsb(f"greatest({low}, {own})")
-        bit = cells.lsb("c")
-        run = f"sequence(c - ({bit} - {target}), c + ({bit} - {target}), 2 * {target})"
-        return f"SELECT explode({run}) FROM ({arrays})"
-
     box = wkt.bounds("wkt")
     low = "greatest(min_level, 0)"
+    own = cells.level_of("c")
+    # cells left coarser than the minimum level are split, and those of their descendants kept that meet the box
+    found = f"SELECT {box} AS box, explode(s2_covering_cells({box}, {low}, max_level, {coverings.COVERING_CELLS})) AS c"
+    marked = f"SELECT box, c, {own} < {low} AS coarse FROM ({found})"
+    split = _descended(marked, "box, coarse, ", f"greatest({low}, {own})")
+    square = coverings._square.sql("c")
+    placed = f"SELECT c, coarse, box, {square} AS q FROM ({split})"
     _define(
         spark,
         f"s2_covering(wkt STRING, {levels}) RETURNS TABLE (cell_id BIGINT)",
-        split(f"s2_covering_cells({box}, {low}, max_level, {coverings.COVERING_CELLS})", low),
+        f"SELECT explode(if(NOT coarse OR s2_box_meets_cell(box, q.f, q.i, q.j, {own}), array(c), "
+        f"CAST(array() AS ARRAY<BIGINT>))) FROM ({placed})",
     )
     limit = f"greatest(max_cells, {coverings.LEAST_INTERIOR_CELLS})"
+    found = f"SELECT explode(s2_interior_cells({box}, {low}, max_level, {limit})) AS c"
     _define(
         spark,
         f"s2_interior_covering(wkt STRING, {levels}, max_cells INT) RETURNS TABLE (cell_id BIGINT)",
-        split(f"s2_interior_cells({box}, {low}, max_level, {limit})", low),
-    )
-    bit, own_bit = cells.level_lsb("level"), cells.lsb("cell")
-    _define(
-        spark,
-        "s2_children(cell BIGINT, level INT) RETURNS TABLE (child_id BIGINT)",
-        f"SELECT explode(if(level BETWEEN {cells.level_of('cell')} AND 30, "
-        f"sequence(cell - ({own_bit} - {bit}), cell + ({own_bit} - {bit}), 2 * {bit}), "
-        "CAST(array() AS ARRAY<BIGINT>)))",
+        _descended(found, "", f"greatest({low}, {own})"),
     )
+    start = f"SELECT explode(if(level BETWEEN {cells.level_of('cell')} AND 30, array(cell), CAST(array() AS ARRAY<BIGINT>))) AS c"
+    _define(spark, "s2_children(cell BIGINT, level INT) RETURNS TABLE (child_id BIGINT)", _descended(start, "", "level"))
     _define(
         spark,
         "s2_cell_neighbors(cell BIGINT) RETURNS TABLE (neighbor_id BIGINT)",
@@ -69,7 +74,7 @@ def register_rasters(spark: SparkSession, meta: DataFrame, tiles: DataFrame) ->
     """The ``rs_*`` functions over one set of rasters.
 
     Their bodies look the path up in views of the raster tables; Spark turns
-    each call into a join on the path.
+    each call into a join on the path.  ``rs_value`` reads the blocks that it needs from the file itself.
     """
     meta.createOrReplaceTempView("raster_metadata")
     tiles.createOrReplaceTempView("raster_tiles")
@@ -116,37 +121,7 @@ def register_rasters(spark: SparkSession, meta: DataFrame, tiles: DataFrame) ->
             f"abs({rasters._DET}) >= {rasters.SINGULAR!r}D",
         ),
     )
-    # grid -> place of the tile -> the tile: each step hands its values on as arguments, so
-    # every look-up is an equi-join
-    _define(
-        spark,
-        "rs_tile(file STRING, b INT, r INT, c INT) RETURNS ARRAY<DOUBLE>",
-        "(SELECT any_value(data) FROM raster_tiles WHERE path = file AND band = b AND row0 = r AND col0 = c)",
-    )
-    _define(
-        spark,
-        f"rs_grid(file STRING) RETURNS {_GRID}",
-        "(SELECT any_value(named_struct('bands', bands, 'width', width, 'height', height, 'block_rows', block_rows, "
-        "'chunk_rows', chunk_rows, 'block_cols', block_cols)) FROM raster_metadata WHERE path = file)",
-    )
-    _define(
-        spark,
-        "rs_tile_value(file STRING, b INT, x INT, y INT, r INT, c INT, cols INT) RETURNS DOUBLE",
-        "coalesce(get(rs_tile(file, b, r, c), (y - r) * cols + x - c), double('NaN'))",
-    )
-    top = "y - y % g.block_rows"
-    _define(
-        spark,
-        f"rs_value_on(file STRING, number INT, x INT, y INT, g {_GRID}) RETURNS DOUBLE",
-        "rs_tile_value(file, least(greatest(number, 1), g.bands), x, y, "
-        f"if(x < g.width AND y < g.height, {top} + (y % g.block_rows) DIV g.chunk_rows * g.chunk_rows, NULL), "
-        "x - x % g.block_cols, least(g.block_cols, g.width - (x - x % g.block_cols)))",
-    )
-    _define(
-        spark,
-        "rs_value(file STRING, number INT, x INT, y INT) RETURNS DOUBLE",
-        "rs_value_on(file, number, greatest(x, 0), greatest(y, 0), rs_grid(file))",
-    )
+    spark.udf.register("rs_value", value_at)
     _define(
         spark,
         "rs_metadata(file STRING) RETURNS TABLE (path STRING, width INT, height INT, bands INT, crs STRING)",

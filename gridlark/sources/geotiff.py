@@ -1,7 +1,7 @@
 """GeoTIFF files as a Spark data source: ``spark.read.format("geotiff")``.
 
 Option ``mode``: ``metadata`` (one row per file, header bytes only), ``tiles``
-(blocks of samples, the default) or ``pixels``.  The driver only lists files;
+(blocks of samples, the default), ``pixels``, or ``partials`` (statistics of each block: no sample leaves the reader).  The driver only lists files;
 headers and samples are read by the executors.  Small files share a partition,
 large ones are cut into slices of blocks.
 
@@ -21,8 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -34,7 +37,8 @@ from .tiff import Tiff, locate, plain
 SCHEMAS = {
     "metadata": "path string, width int, height int, bands int, "
     "gt struct<gt0:double,gt1:double,gt2:double,gt3:double,gt4:double,gt5:double>, "
-    "gt_text string, nodata double, crs string, block_rows int, chunk_rows int, block_cols int",
+    "gt_text string, nodata double, crs string, block_rows int, block_cols int",
+    "partials": "path string, band int, row0 int, col0 int, n long, low double, high double, mean double, square double",
     "tiles": "path string, band int, row0 int, col0 int, rows int, cols int, data array<double>",
     "pixels": "path string, band int, row int, col int, value double",
 }
@@ -43,7 +47,11 @@ _ARROW = {
     "metadata": pa.schema(
         [("path", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("bands", pa.int32()),
          ("gt", _GT), ("gt_text", pa.string()), ("nodata", pa.float64()), ("crs", pa.string()),
-         ("block_rows", pa.int32()), ("chunk_rows", pa.int32()), ("block_cols", pa.int32())]
+         ("block_rows", pa.int32()), ("block_cols", pa.int32())]
+    ),
+    "partials": pa.schema(
+        [("path", pa.string()), ("band", pa.int32()), ("row0", pa.int32()), ("col0", pa.int32()), ("n", pa.int64()),
+         ("low", pa.float64()), ("high", pa.float64()), ("mean", pa.float64()), ("square", pa.float64())]
     ),
     "tiles": pa.schema(
         [("path", pa.string()), ("band", pa.int32()), ("row0", pa.int32()), ("col0", pa.int32()),
@@ -55,6 +63,8 @@ _ARROW = {
     ),
 }
 _BATCH_BYTES = 16 << 20
+# --- fixed value: transforms with a smaller determinant have no inverse ---
+SINGULAR = 1e-12
 
 
 def _span(text: str | None) -> tuple[int, int]:
@@ -118,11 +128,14 @@ def _batches(tiff: Tiff, mode: str, part: int, parts: int, wanted, schema) -> It
         gt = {f"gt{k}": v for k, v in enumerate(tiff.transform)}
         text = ",".join(map(plain, tiff.transform))
         row = (tiff.path, tiff.width, tiff.height, tiff.bands, gt, text, tiff.nodata, tiff.crs)
-        grid = (tiff.block_rows, tiff.chunk_rows, tiff.block_cols)
+        grid = (tiff.block_rows, tiff.block_cols)
         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row + grid, strict=True))], schema)
         return
     held, size = [], 0
     for b in tiff.blocks(part, parts, wanted):
+        if mode == "partials":
+            held.append((tiff.path, b.band, b.row, b.col, *partial(b.data)))
+            continue
         rows, cols = b.data.shape
         if mode == "pixels":
             r, c = np.divmod(np.arange(rows * cols, dtype=np.int32), np.int32(cols))
@@ -138,10 +151,21 @@ def _batches(tiff: Tiff, mode: str, part: int, parts: int, wanted, schema) -> It
         if size >= _BATCH_BYTES:
             yield _tile_batch(tiff.path, held, schema)
             held, size = [], 0
-    if held:
+    if held and mode == "partials":
+        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, h, strict=True)) for h in held], schema)
+    elif held:
         yield _tile_batch(tiff.path, held, schema)
 
 
+def partial(data: np.ndarray) -> tuple[int, float, float, float, float]:
+    """Count, smallest and largest number, mean and squared deviation of a block; NaN counts, and spoils the last two."""
+    numbers = data[~np.isnan(data)]
+    low, high = (numbers.min(), numbers.max()) if numbers.size else (np.inf, -np.inf)
+    with np.errstate(invalid="ignore"):
+        mean = float(data.mean())
+        return data.size, float(low), float(high), mean, float(np.square(data - mean).sum())
+
+
 def _tile_batch(path: str, held: list, schema) -> pa.RecordBatch:
     ends = np.cumsum([0] + [b.data.size for b, _, _ in held]).astype(np.int32)
     data = pa.ListArray.from_arrays(ends, np.concatenate([b.data.ravel() for b, _, _ in held]))
@@ -221,6 +245,95 @@ def read_geotiff(spark: SparkSession, path: str | list[str], mode: str = "tiles"
     return reader.options(**{k: str(v) for k, v in options.items()}).load()
 
 
+_MISSING = (OSError, ValueError)
+
+
+def with_values(
+    requests: DataFrame, path: str, band: str, row: str, col: str, out: str, clamp: bool = True, world: bool = False
+) -> DataFrame:
+    """Requests with the sample of their file under ``out``: NaN off the raster or without a readable file.
+
+    Requests meet by file and region; a task opens each of its files once and reads only the blocks that its requests
+    need.  No sample is shuffled, and a file with very many requests is split as adaptive execution sees fit.
+    ``clamp``: bands go to those there are, negative positions to 0.  ``world``: ``row`` and ``col`` are y and x.
+    """
+    own = [f.name for f in requests.schema.fields if f.name != out]
+    region = (f"coalesce(CAST(`{c}` AS BIGINT), 0) DIV 512" for c in (row, col))
+    keyed = requests.selectExpr(
+        *(f"`{c}`" for c in own), f"`{path}` AS _path", f"CAST(`{band}` AS BIGINT) AS _band",
+        f"CAST(`{row}` AS DOUBLE) AS _row", f"CAST(`{col}` AS DOUBLE) AS _col", *(f"{r} AS _r{k}" for k, r in enumerate(region)),
+    )
+    keys = ["_path", "_r0", "_r1"]
+    met = keyed.hint("rebalance", *keys).sortWithinPartitions(*keys).drop("_r0", "_r1")
+    shape = requests.select(*(f"`{c}`" for c in own)).schema.add(out, "double")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, tiff = None, None
+        for batch in batches:
+            paths = batch.column("_path").to_pylist()
+            numbers = [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("_band", "_row", "_col")]
+            known = ~np.isnan(numbers).any(axis=0) & np.array([p is not None for p in paths], bool)
+            values = np.full(len(paths), np.nan)
+            edges = [0, *(i for i in range(1, len(paths)) if paths[i] != paths[i - 1]), len(paths)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b or paths[a] is None:
+                    continue
+                if paths[a] != name:
+                    if tiff is not None:
+                        tiff.close()
+                    name = paths[a]
+                    try:
+                        tiff = Tiff(name)
+                    except _MISSING:
+                        tiff = None
+                if tiff is not None:
+                    at = a + np.flatnonzero(known[a:b])
+                    values[at] = _sampled(tiff, *(x[at] for x in numbers), clamp, world)
+            columns = [batch.column(c) for c in own]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(values, mask=~known)], names=[*own, out])
+        if tiff is not None:
+            tiff.close()
+
+    return met.mapInArrow(read, shape)
+
+
+def _sampled(tiff: Tiff, band: np.ndarray, row: np.ndarray, col: np.ndarray, clamp: bool, world: bool) -> np.ndarray:
+    if world:
+        g0, g1, g2, g3, g4, g5 = tiff.transform
+        whole = g1 * g5 - g2 * g4
+        if abs(whole) < SINGULAR:
+            return np.full(len(row), np.nan)
+        x, y = col - g0, row - g3
+        col, row = np.floor((g5 * x - g2 * y) / whole), np.floor((g1 * y - g4 * x) / whole)
+    band = np.clip(band, 1, tiff.bands)
+    if clamp:
+        row, col = np.maximum(row, 0), np.maximum(col, 0)
+    out = np.full(len(row), np.nan)
+    on = np.flatnonzero((row >= 0) & (col >= 0) & (row < tiff.height) & (col < tiff.width))
+    if len(on):
+        out[on] = tiff.values_at(*(v[on].astype(np.int64) for v in (band - 1, row, col)))
+    return out
+
+
+@F.arrow_udf(T.DoubleType())
+def value_at(path: pa.Array, band: pa.Array, col: pa.Array, row: pa.Array) -> pa.Array:
+    """One sample per row; each file of a batch is opened once, and only the blocks asked for are read."""
+    numbers = [pc.cast(x, pa.float64()).to_numpy(zero_copy_only=False) for x in (band, row, col)]
+    known = ~np.isnan(numbers).any(axis=0) & path.is_valid().to_numpy(zero_copy_only=False)
+    names = path.dictionary_encode()
+    place = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    values = np.full(len(path), np.nan)
+    for k, name in enumerate(names.dictionary.to_pylist()):
+        at = np.flatnonzero(known & (place == k))
+        try:
+            tiff = Tiff(name)
+        except _MISSING:
+            continue
+        values[at] = _sampled(tiff, *(x[at] for x in numbers), True, False)
+        tiff.close()
+    return pa.array(values, mask=~known)
+
+
 def scan_geotiff(files: DataFrame, path: str, mode: str = "tiles", skip_errors: bool = True) -> DataFrame:
     """The same rows for a table of file paths, which never pass through the driver.
 

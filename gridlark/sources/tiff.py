@@ -60,6 +60,29 @@ class Block:
     data: np.ndarray
 
 
+class Entries:
+    """The values of a tag by number, read a page at a time: tables of offsets grow with the file."""
+
+    PAGE = 1024
+
+    def __init__(self, tiff: Tiff, tag: int):
+        self._tiff = tiff
+        self._kind, self._count, self._at = tiff.tags[tag]
+        self._page, self._values = -1, ()
+
+    def __getitem__(self, k: int) -> int:
+        page, place = divmod(k, self.PAGE)
+        if not 0 <= k < self._count:
+            raise TiffError(f"{self._tiff.path}: no block {k}")
+        if page != self._page:
+            form = FIELD_TYPES[self._kind]
+            first = page * self.PAGE
+            n = min(self.PAGE, self._count - first)
+            self._values = self._tiff._unpack(form * n, self._at + first * struct.calcsize("=" + form))
+            self._page = page
+        return self._values[place]
+
+
 class Tiff:
     """An open file.  ``max_pixels`` bounds the blocks handed out."""
 
@@ -154,9 +177,14 @@ class Tiff:
         rows, cols = self._block
         # small strips are handed out together, large raw ones in pieces
         self._group = 1 if self.tiled else max(1, self.max_pixels // max(rows * cols, 1))
-        self.block_rows = rows * self._group
         self.block_cols = cols
-        self.chunk_rows = max(1, min(self.block_rows, self.max_pixels // max(cols, 1)))
+        self._step_rows = rows * self._group
+        self._chunk_rows = max(1, min(self._step_rows, self.max_pixels // max(cols, 1)))
+
+    @property
+    def block_rows(self) -> int:
+        """Rows of the file's own blocks (strips or tiles), whatever pieces are handed out."""
+        return self._block[0]
 
     def _nodata(self) -> float:
         stated = self._text(NODATA_TEXT)
@@ -187,44 +215,71 @@ class Tiff:
                 return np.dtype(f"{self._order}{kind}{size // 8}")
         raise TiffError(f"{self.path}: Unsupported pixel type")
 
-    def _units(self) -> list[tuple[int, int, int, int]]:
-        """Pieces to read independently: (first row, rows, block column, plane)."""
-        raw = self.compression == RAW
-        step = self.chunk_rows if raw else self.block_rows
-        across = -(-self.width // self.block_cols)
-        planes = self.bands if self.planar else 1
-        return [
-            (row, min(step, top + self.block_rows - row, self.height - row), c, plane)
-            for plane in range(planes)
-            for top in range(0, self.height, self.block_rows)
-            for row in range(top, min(top + self.block_rows, self.height), step)
-            for c in range(across)
-        ]
+    def _unit(self, k: int) -> tuple[int, int, int, int]:
+        """Piece ``k`` to read independently: (first row, rows, block column, plane)."""
+        step, across = self._unit_step(), -(-self.width // self.block_cols)
+        k, c = divmod(k, across)
+        plane, k = divmod(k, self._unit_rows())
+        group, piece = divmod(k, -(-self._step_rows // step))
+        row = group * self._step_rows + piece * step
+        return row, min(step, (group + 1) * self._step_rows - row, self.height - row), c, plane
 
-    def blocks(self, part: int = 0, parts: int = 1, wanted=lambda band, row, rows, col, cols: True) -> Iterator[Block]:
-        """Blocks of slice ``part`` of ``parts``; ``wanted`` may refuse some unread."""
-        kind = self.dtype()
+    def _unit_step(self) -> int:
+        return self._chunk_rows if self.compression == RAW else self._step_rows
+
+    def _unit_rows(self) -> int:
+        whole, rest = divmod(self.height, self._step_rows)
+        return whole * -(-self._step_rows // self._unit_step()) + -(-rest // self._unit_step())
+
+    def _unit_count(self) -> int:
+        return self._unit_rows() * -(-self.width // self.block_cols) * (self.bands if self.planar else 1)
+
+    def _open_samples(self) -> tuple[Entries, Entries, np.dtype, int]:
         if self.compression not in (RAW, LZW, DEFLATE, OLD_DEFLATE, PACKBITS):
             raise TiffError(f"{self.path}: compression {self.compression} is not supported")
-        predictor = self._one(PREDICTOR, 1)
-        if predictor not in (1, 2):
+        kind, predictor = self.dtype(), self._one(PREDICTOR, 1)
+        if predictor not in (1, 2, 3) or predictor == 3 and kind.kind != "f":
             raise TiffError(f"{self.path}: predictor {predictor} is not supported")
-        offsets = self.values(TILE_OFFSETS if self.tiled else STRIP_OFFSETS)
-        sizes = self.values(TILE_BYTES if self.tiled else STRIP_BYTES)
-        units = self._units()
-        low, high = (len(units) * k // parts for k in (part, part + 1))
-        for row, rows, c, plane in units[low:high]:
+        offsets = Entries(self, TILE_OFFSETS if self.tiled else STRIP_OFFSETS)
+        return offsets, Entries(self, TILE_BYTES if self.tiled else STRIP_BYTES), kind, predictor
+
+    def blocks(self, part: int = 0, parts: int = 1, wanted=lambda band, row, rows, col, cols: True) -> Iterator[Block]:
+        """Blocks of slice ``part`` of ``parts``; ``wanted`` may refuse some unread."""
+        opened = self._open_samples()
+        low, high = (self._unit_count() * k // parts for k in (part, part + 1))
+        for k in range(low, high):
+            row, rows, c, plane = self._unit(k)
             col = c * self.block_cols
             cols = min(self.block_cols, self.width - col)
             bands = [plane] if self.planar else range(self.bands)
             bands = [b for b in bands if wanted(b + 1, row, rows, col, cols)]
             if not bands:
                 continue
-            samples = self._samples(row, rows, c, plane, offsets, sizes, kind, predictor)
+            samples = self._samples(row, rows, c, plane, *opened)
             for b in bands:
                 values = samples[:, :cols, 0 if self.planar else b].astype(np.float64)
-                for top in range(0, rows, self.chunk_rows):
-                    yield Block(b + 1, row + top, col, values[top : top + self.chunk_rows])
+                for top in range(0, rows, self._chunk_rows):
+                    yield Block(b + 1, row + top, col, values[top : top + self._chunk_rows])
+
+    def values_at(self, band: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+        """Samples at positions within the file (bands from 0); each block they need is read once."""
+        opened = self._open_samples()
+        # raw blocks are read by rows
+        high = self._block[0] if self.compression != RAW else min(self._block[0], max(1, (1 << 14) // self.block_cols))
+        top = row // self._block[0] * self._block[0]
+        top = top + (row - top) // high * high
+        plane = band if self.planar else np.zeros_like(band)
+        c = col // self.block_cols
+        out = np.empty(len(row), np.float64)
+        order = np.lexsort((c, top, plane))
+        edge = np.flatnonzero(np.diff(top[order]) | np.diff(c[order]) | np.diff(plane[order])) + 1
+        for some in np.split(order, edge) if len(order) else []:
+            t, block_col, p = int(top[some[0]]), int(c[some[0]]), int(plane[some[0]])
+            end = min(t + high, t // self._block[0] * self._block[0] + self._block[0], self.height)
+            samples = self._samples(t, end - t, block_col, p, *opened)
+            inner = np.zeros(len(some), int) if self.planar else band[some]
+            out[some] = samples[row[some] - t, col[some] - block_col * self.block_cols, inner]
+        return out
 
     def _samples(self, row, rows, c, plane, offsets, sizes, kind, predictor) -> np.ndarray:
         block_rows, block_cols = self._block
@@ -246,7 +301,11 @@ class Tiff:
                 data = whole[(at - first) * line : (at - first + take) * line]
             if len(data) < take * line:
                 raise TiffError(f"{self.path}: block {index} is too short")
-            pieces.append(np.frombuffer(data, kind).reshape(take, block_cols, per_pixel))
+            if predictor == 3:
+                data = whole_numbers(data, take, block_cols, per_pixel, kind.itemsize)
+                pieces.append(data.astype(kind))
+            else:
+                pieces.append(np.frombuffer(data, kind).reshape(take, block_cols, per_pixel))
             at += take
         samples = np.concatenate(pieces) if len(pieces) > 1 else pieces[0]
         if predictor == 2:
@@ -275,27 +334,42 @@ def unpack_bits(data: bytes, size: int) -> bytes:
     return bytes(out)
 
 
+def whole_numbers(data: bytes, rows: int, cols: int, per_pixel: int, size: int) -> np.ndarray:
+    """Undoes the floating point predictor: bytes are differences, most significant bytes of a row first."""
+    steps = np.frombuffer(data, np.uint8).reshape(rows, -1, per_pixel)
+    planes = np.cumsum(steps, axis=1, dtype=np.uint8).reshape(rows, size, cols * per_pixel)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(f">f{size}").reshape(rows, cols, per_pixel)
+
+
 def unpack_lzw(data: bytes, size: int) -> bytes:
-    clear, stop = 256, 257
+    """Codes of one width are cut out together; the table grows by one text per code."""
+    clear, stop, most = 256, 257, 4096
+    bits = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.int64)
     start = [bytes([k]) for k in range(256)] + [b"", b""]
-    table, width, out = list(start), 9, bytearray()
-    last, bits, held = None, 0, 0
-    for byte in data:
-        bits, held = (bits << 8) | byte, held + 8
-        if held < width:
-            continue
-        held -= width
-        code, bits = bits >> held, bits & ((1 << held) - 1)
-        if code == stop or len(out) >= size:
-            break
-        if code == clear:
-            table, width, last = list(start), 9, None
-            continue
-        text = table[code] if code < len(table) else last + last[:1]
-        out += text
-        if last is not None:
-            table.append(last + text[:1])
-        last = text
-        # the code width grows one entry early
+    table, out, at, last = list(start), [], 0, None
+    done, end = 0, len(data) * 8
+    while done < size:
+        # the code width grows one entry early; a code after the first adds an entry
         width = min(12, max(9, (len(table) + 1).bit_length()))
-    return bytes(out)
+        room = (1 << width) - 1 - len(table) if width < 12 else most
+        n = min(max(room + (last is None), 1), (end - at) // width)
+        if n <= 0:
+            break
+        place = at + width * np.arange(n)
+        byte = place >> 3
+        codes = (bits[byte] << 16 | bits[byte + 1] << 8 | bits[byte + 2]) >> (24 - width - (place & 7)) & (1 << width) - 1
+        marks = np.flatnonzero((codes == clear) | (codes == stop))
+        used = int(marks[0]) if len(marks) else n
+        for code in codes[:used].tolist():
+            text = table[code] if code < len(table) else last + last[:1]
+            out.append(text)
+            done += len(text)
+            if last is not None:
+                table.append(last + text[:1])
+            last = text
+        at += width * (used + (used < n))
+        if used < n:
+            if codes[used] == stop:
+                break
+            table, last = list(start), None
+    return b"".join(out)

@@ -14,8 +14,26 @@ from gridlark.operators.joins import (
 )
 from gridlark.operators.skew import join_large
 
-# broadcast, and the shuffled join with salted hot keys
-WAYS = [{}, {"broadcast_rows": 5, "hot_rows": 40}]
+# broadcast, and the shuffled join with split partitions
+WAYS = [
+    {},
+    {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    },
+]
+
+
+@pytest.fixture(autouse=True)
+def settings(spark, request):
+    way = request.node.callspec.params.get("way", {}) if hasattr(request.node, "callspec") else {}
+    for name, value in way.items():
+        spark.conf.set(name, value)
+    yield
+    for name in way:
+        spark.conf.unset(name)
 
 
 def span(c):
@@ -41,7 +59,7 @@ def leaves(points):
 def test_points_in_cells(spark, points, leaves, way):
     table = s2_cell_id.add(points.where("id % 2 = 0").withColumn("l", F.expr("id % 9")), "cell_id", "lat", "lon", "l")
     table = table.where("cell_id IS NOT NULL").selectExpr("id AS owner", "cell_id").cache()
-    got = points_in_cells(points, table, "lat", "lon", **way).select("id", "owner").collect()
+    got = points_in_cells(points, table, "lat", "lon").select("id", "owner").collect()
     cells = table.collect()
     want = [(k, c.owner) for k, leaf in leaves.items() for c in cells if span(c.cell_id)[0] <= leaf <= span(c.cell_id)[1]]
     assert sorted(map(tuple, got)) == sorted(want)
@@ -54,7 +72,7 @@ def test_points_in_fences(spark, points, way):
     boxes += [(rng.uniform(-80, 60), rng.uniform(-179, 140), rng.uniform(0, 20), rng.uniform(0, 38)) for _ in range(20)]
     rows = [(k, f"LINESTRING({x!r} {y!r}, {x + w!r} {y + h!r})") for k, (y, x, h, w) in enumerate(boxes)]
     fences = spark.createDataFrame(rows, "fence int, wkt string")
-    got = points_in_fences(points, fences, "fence", "wkt", "lat", "lon", 0, 10, **way)
+    got = points_in_fences(points, fences, "fence", "wkt", "lat", "lon", 0, 10)
     want = [(p.id, k) for p in points.collect() if p.lat is not None for k, (y, x, h, w) in enumerate(boxes)
             if y <= p.lat <= y + h and x <= p.lon <= x + w]
     assert sorted((r.id, r.fence) for r in got.collect()) == sorted(want)
@@ -65,7 +83,7 @@ def test_points_in_fences(spark, points, way):
 def test_join_large(spark, way, how):
     left = spark.range(300).selectExpr("id", "if(id % 3 = 0, 0, id % 20) AS k")
     right = spark.range(12).selectExpr("id % 6 * 3 AS k", "id AS v")
-    a = join_large(left, right, ["k"], how, **way)
+    a = join_large(left, right, ["k"], how)
     b = left.join(right, ["k"], how)
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
 
@@ -79,9 +97,9 @@ def test_neighbor_join(spark, points, way):
         near.setdefault(r.cell, set()).add(r.neighbor_id)
     a, b = cells.collect(), other.collect()
     want = sorted((x.id, y.other) for x in a for y in b if y.near in near[x.cell])
-    got = neighbor_join(cells, other, "cell", "near", **way).select("id", "other").collect()
+    got = neighbor_join(cells, other, "cell", "near").select("id", "other").collect()
     assert sorted(map(tuple, got)) == want
-    semi = neighbor_join(cells, other, "cell", "near", "left_semi", **way).collect()
+    semi = neighbor_join(cells, other, "cell", "near", "left_semi").collect()
     assert sorted(r.id for r in semi) == sorted({k for k, _ in want})
 
 
@@ -94,7 +112,7 @@ def test_union_overlap_join(spark, points, way):
     left, right = side("a", 7, "2 + id % 4"), side("b", 11, "1 + id % 7")
     want = {(x.a, y.b) for x in left.collect() for y in right.collect() if x.cell_id and y.cell_id
             and span(x.cell_id)[0] <= span(y.cell_id)[1] and span(y.cell_id)[0] <= span(x.cell_id)[1]}
-    got = union_overlap_join(left, right, "a", "b", **way).collect()
+    got = union_overlap_join(left, right, "a", "b").collect()
     assert len(got) == len(want) and set(map(tuple, got)) == want
 
 

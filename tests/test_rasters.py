@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tiffs import write_tiff
 
 from gridlark.operators import rasters
+from gridlark.plans import derived
 from gridlark.sources.geotiff import list_files, read_geotiff, scan_geotiff
+from gridlark.sources.tiff import Tiff
 
 GRID = np.arange(12, dtype=np.float32).reshape(3, 4)
 
@@ -129,15 +131,14 @@ def place(spark, tmp_path_factory):
     return a, b, data, meta, read_geotiff(spark, str(folder), "tiles", **options).cache()
 
 
-@pytest.mark.parametrize("way", [{}, {"broadcast_rows": 1, "hot_rows": 2}])
-def test_value(spark, place, way):
+def test_value(spark, place):
     a, b, data, meta, tiles = place
     rows = [(a, 1, 3, 4), (a, 2, 19, 29), (a, 9, 0, 0), (a, 0, 5, 17), (a, 1, -4, -1), (a, 1, 20, 0), (a, 1, 0, 30),
             (b, 1, 3, 2), ("none", 1, 0, 0), (a, None, 1, 1), (a, 1, None, 1)]
     want = [data[4, 3, 0], data[29, 19, 1], data[0, 0, 1], data[17, 5, 0], data[0, 0, 0], math.nan, math.nan,
             11.0, math.nan, None, None]
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, path string, b int, c int, r int")
-    got = [x.rs_value for x in rasters.add_value(df, meta, tiles, "b", "c", "r", **way).orderBy("k").collect()]
+    got = [x.rs_value for x in rasters.add_value(df, "b", "c", "r").orderBy("k").collect()]
     for g, w in zip(got, want, strict=True):
         assert (g is None) == (w is None) and (g is None or g == w or (math.isnan(g) and math.isnan(w)))
 
@@ -153,7 +154,7 @@ def test_transforms(spark, place):
     assert [r.p for r in got] == ["POINT(-194.000 182.000)", "POINT(NaN NaN)", "POINT(NaN NaN)", None, "POINT(0.000 -0.000)"]
     world = spark.createDataFrame([(0, a, 100.7, 49.6), (1, a, 99.9, 49.6), (2, b, 1.0, 1.0), (3, "none", 1.0, 1.0)],
                                   "k int, path string, x double, y double")
-    values = [r.value for r in rasters.sample_points(world, meta, tiles, "x", "y").orderBy("k").collect()]
+    values = [r.value for r in rasters.sample_points(world, "x", "y").orderBy("k").collect()]
     assert values[0] == 1 * 40 + 1 * 2 and all(map(math.isnan, values[1:]))
 
 
@@ -164,7 +165,8 @@ def test_header_values_and_stand_ins(spark, place):
     assert tuple(got[a])[1:] == (2, 20, 30, 4.0, "100,0.5,0,50,0,-0.25", 0.5, 0.25, "See GeoTIFF tags")
     none = tuple(got["none"])[1:]
     assert none[:3] == (0, 0, 0) and math.isnan(none[3]) and none[4:] == ("0,1,0,0,0,-1", 1.0, 1.0, "")
-    stats = {r.path: r for r in rasters.add_band_statistics(df, rasters.tile_values(tiles)).collect()}
+    partials = read_geotiff(spark, a, "partials")
+    stats = {r.path: r for r in rasters.add_band_statistics(df, partials).collect()}
     assert (stats[a].rs_min, stats[a].rs_max, stats[a].rs_mean) == (0, 1198, 599)
     assert (stats["none"].rs_min, stats["none"].rs_max) == (math.inf, -math.inf) and math.isnan(stats["none"].rs_mean)
     assert rasters.rs_metadata(meta).columns == ["path", "width", "height", "bands", "crs"]
@@ -178,15 +180,89 @@ def pixel_table(spark, values):
 def test_stats(spark):
     nan = math.nan
     df = pixel_table(spark, {"p": [1, 2, 3, 5], "n": [1, nan, 3], "c": [7, 7], "x": [nan, nan]})
-    got = {r.path: r for r in rasters.rs_stats(df).collect()}
+    got = {r.path: r for r in rasters.pixel_stats(df).collect()}
     assert tuple(got["p"])[2:5] == (1, 5, 2.75) and got["p"].stddev == pytest.approx(np.std([1, 2, 3, 5])) and got["p"]["count"] == 4
     assert (got["n"].min, got["n"].max, got["n"]["count"]) == (1, 3, 3) and math.isnan(got["n"].mean) and math.isnan(got["n"].stddev)
     assert (got["c"].stddev, got["c"].mean) == (0, 7)
     assert (got["x"].min, got["x"].max) == (math.inf, -math.inf)
-    left = rasters.rs_stats(df.withColumn("nd", F.lit(5.0)), nodata="nd").where("path = 'p'").first()
+    left = rasters.pixel_stats(df.withColumn("nd", F.lit(5.0)), nodata="nd").where("path = 'p'").first()
     assert (left.max, left["count"]) == (3, 3)
 
 
+def test_stats_from_partials(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    data = (1e6 + rng.random((70, 45, 2))).astype("f8")
+    odd = data.copy()
+    odd[3, 4, 1] = np.nan
+    write_tiff(tmp_path / "a.tif", data, tile=(16, 16))
+    write_tiff(tmp_path / "b.tif", odd, rows_per_strip=7)
+    write_tiff(tmp_path / "c.tif", np.full((9, 9, 1), np.nan))
+    partials = read_geotiff(spark, str(tmp_path), "partials", maxTilePixels=100)
+    assert partials.count() > 40
+    got = {(r.path[-5], r.band): r for r in rasters.rs_stats(partials).collect()}
+    for name, values in (("a", data), ("b", odd)):
+        for band in (0, 1):
+            r, v = got[name, band + 1], values[..., band]
+            assert (r.min, r.max, r["count"]) == (np.nanmin(v), np.nanmax(v), v.size)
+            if np.isnan(v).any():
+                assert math.isnan(r.mean) and math.isnan(r.stddev)
+            else:
+                assert r.mean == pytest.approx(v.mean(), rel=1e-13) and r.stddev == pytest.approx(v.std(), rel=1e-6)
+    assert (got["c", 1].min, got["c", 1].max) == (math.inf, -math.inf)
+
+
+def test_unequal_options_give_equal_values(spark, tmp_path):
+    """Look-ups need neither table; pieces of any size hold the same pixels."""
+    data = np.arange(40 * 50, dtype="f4").reshape(40, 50)
+    path = write_tiff(tmp_path / "a.tif", data, rows_per_strip=40)
+    df = spark.range(300).selectExpr(f"'{path}' AS path", "1 AS b", "CAST(id % 55 AS INT) AS c", "CAST(id % 43 AS INT) AS r")
+    for r in rasters.add_value(df, "b", "c", "r").collect():
+        on = r.c < 50 and r.r < 40
+        assert r.rs_value == data[r.r, r.c] if on else math.isnan(r.rs_value)
+    grids = {tuple(read_geotiff(spark, path, "metadata", maxTilePixels=n).select("block_rows", "block_cols").first()) for n in (16, 1 << 18)}
+    assert grids == {(40, 50)}
+
+
+def test_floating_point_predictor(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    for layout in range(8):
+        data = rng.normal(size=(33, 64, 2))
+        (tmp_path / f"{layout}.tif").write_bytes(derived._geotiff(data, (0, 0), (1, 1), 4326, None, layout))
+        kind = "f8" if layout % 3 == 1 else "f4"
+        assert pixels_of(spark, str(tmp_path / f"{layout}.tif")) == expect(data.astype(kind))
+
+
+def test_each_file_is_decoded_once(spark, tmp_path):
+    """Counted by a file that each opening adds a line to."""
+    log = tmp_path / "log"
+    path = write_tiff(tmp_path / "a.tif", GRID)
+
+    def count(run):
+        log.write_text("")
+        opened = Tiff.__init__
+
+        def noted(self, path, max_pixels=1 << 18, _opened=opened, _log=str(log)):
+            with open(_log, "a") as f:
+                f.write("x")
+            _opened(self, path, max_pixels)
+
+        Tiff.__init__ = noted
+        try:
+            run()
+        finally:
+            Tiff.__init__ = opened
+        return len(log.read_text())
+
+    df = spark.createDataFrame([(path, 1, k % 4, k % 3) for k in range(50)], "path string, b int, c int, r int").coalesce(1)
+    folder = str(tmp_path / "a.tif")
+    # regions of 512 pixels: one here
+    assert count(lambda: rasters.add_value(df, "b", "c", "r").collect()) == 1
+    assert count(lambda: rasters.add_metadata(df, read_geotiff(spark, folder, "metadata"), ["rs_width"]).collect()) == 1
+    assert count(lambda: rasters.add_band_statistics(df, read_geotiff(spark, folder, "partials"), ["rs_min"]).collect()) == 1
+    bounds = lambda: rasters.rs_stats(read_geotiff(spark, folder, "partials"))
+    assert count(lambda: rasters.rs_histogram(rasters.tile_values(read_geotiff(spark, folder)), 4, bounds()).collect()) == 2
+
+
 def test_histogram(spark):
     nan = math.nan
     df = pixel_table(spark, {"p": [1, 2, 3, 5], "n": [1, nan, 3], "c": [7, 7], "x": [nan, nan]})

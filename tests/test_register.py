@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from tiffs import write_tiff
 
+from gridlark import functions
+from gridlark.operators.coverings import covering
 from gridlark.register import register, register_rasters
 from gridlark.sources.geotiff import read_geotiff
 
@@ -48,6 +50,47 @@ def test_generators(sql):
     assert dict(many)[2] == 1
 
 
+@pytest.mark.parametrize("level", range(10, 17))
+def test_covering_as_the_operator(spark, sql, level):
+    """Beyond 4096 forced cells too."""
+    got = spark.sql(f"SELECT cell_id FROM s2_covering({BEIJING}, {level}, {level})")
+    want = covering(spark.sql(f"SELECT {BEIJING} AS wkt"), "wkt", level, level).select("cell_id")
+    sums = ("count(*)", "count(DISTINCT cell_id)", "sum(CAST(cell_id AS DECIMAL(38)))")
+    assert got.selectExpr(*sums).first() == want.selectExpr(*sums).first()
+
+
+def test_deep_children(sql):
+    one = "(SELECT s2_cell_id(39.9, 116.4, 8) AS c)"
+    assert sql(f"SELECT count(*), count(DISTINCT child_id) FROM {one}, LATERAL s2_children(c, 18)") == [(4**10, 4**10)]
+
+
+def test_names_give_what_the_staged_form_gives(spark, sql):
+    points = spark.range(3000).selectExpr(
+        "if(id % 97 = 0, NULL, CAST((id * 7919) % 18001 AS DOUBLE) / 100 - 90) AS lat",
+        "CAST((id * 104729) % 36001 AS DOUBLE) / 100 - 180 AS lon", "CAST(id % 33 AS INT) - 1 AS level", "id",
+    )
+    calls = {
+        "s2_cell_id": ("lat", "lon", "level"), "s2_contains": ("cell", "lat + (id % 3) / 50D", "lon"),
+        "s2_distance_meters": ("cell", "other"), "s2_area_m2": ("cell", "level"), "s2_to_geo": ("cell",),
+        "s2_cell_vertex": ("cell", "CAST(id % 6 AS INT) - 1"),
+    }
+    df = functions.s2_cell_id.add(points, "cell", "lat", "lon", "level")
+    df = functions.s2_cell_id.add(df, "other", "lat / 2", "lon", 9).cache()
+    df.createOrReplaceTempView("t")
+    for name, args in calls.items():
+        staged = getattr(functions, name).add(df, "out", *args).select("id", "out").collect()
+        named = spark.sql(f"SELECT id, {name}({', '.join(args)}) AS out FROM t").collect()
+        for a, b in zip(sorted(staged), sorted(named), strict=True):
+            assert a.id == b.id and (a.out is None) == (b.out is None), (name, a, b)
+            if isinstance(a.out, float):
+                assert b.out == pytest.approx(a.out, rel=1e-9, abs=1e-6), (name, a, b)
+            elif isinstance(a.out, str) and a.out:
+                near = [[float(x) for x in r.out[6:-1].split()] for r in (a, b)]
+                assert near[1] == pytest.approx(near[0], abs=2e-7), (name, a, b)
+            else:
+                assert a.out == b.out, (name, a, b)
+
+
 def test_unions(sql):
     rows = sql(
         "WITH cu AS (SELECT s2_cell_union_pack(string_agg(s2_cell_to_hex(cid), ',')) AS b FROM "

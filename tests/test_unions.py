@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,14 @@ from gridlark.functions import (
     s2_cell_union_unpack,
 )
 from gridlark.operators.cells import children
-from gridlark.operators.unions import cell_union_agg, cell_union_area, cell_union_normalize, explode_union
+from gridlark.operators import unions
+from gridlark.operators.unions import (
+    cell_union_agg,
+    cell_union_area,
+    cell_union_counts,
+    cell_union_normalize,
+    explode_union,
+)
 
 BLOB = "02000000000000000050f035000000000070f135"
 
@@ -91,22 +99,25 @@ def grouped(spark):
     return df.unionByName(spark.sql("SELECT 'none' AS g, CAST(NULL AS BIGINT) AS cell")), df
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 200])
-def test_union_agg(grouped, limit):
+def test_union_agg(grouped):
     df, plain = grouped
-    rows = cell_union_agg(df, ["g"], "cell", max_cells=limit).collect()
+    rows = cell_union_agg(df, ["g"], "cell").collect()
     want = {}
     for r in plain.collect():
         want.setdefault(r.g, []).append(r.cell)
-    got = {}
+    assert len(rows) == len(want)
     for r in rows:
         ids = list(struct.unpack(f"<{len(r.cells) // 8}q", bytes(r.cells)[4:]))
         assert struct.unpack("<I", bytes(r.cells)[:4])[0] == len(ids)
-        assert ids == sorted(ids, key=lambda c: c % (1 << 64))
-        assert len(ids) <= 2 * limit
-        got.setdefault(r.g, []).extend(ids)
-    assert {g: sorted(c) for g, c in got.items()} == {g: sorted(c) for g, c in want.items()}
-    assert (len(rows) > len(want)) == (limit == 200)
+        assert ids == sorted(want[r.g], key=lambda c: c % (1 << 64))
+    counts = cell_union_counts(df, ["g"], "cell").collect()
+    assert {(r.g, r.cell): r.n for r in counts} == Counter((g, c) for g, ids in want.items() for c in ids)
+
+
+def test_union_too_large_raises(grouped, monkeypatch):
+    monkeypatch.setattr(unions, "MOST_CELLS", 200)
+    with pytest.raises(Exception, match="cell_union_counts"):
+        cell_union_agg(grouped[1], ["g"], "cell").collect()
 
 
 def test_union_agg_without_groups(spark, grouped):

@@ -41,13 +41,14 @@ lines AS (
         CAST(len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
         CAST(len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+        len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters,
         coalesce(lines.n, 0) AS n_lines, len(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaims
     FROM words LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * n_dup_lines > 30 * n_lines
-        OR 100 * n_symbols > 20 * word_chars OR 100 * n_exclaims > 60 * n_words
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_dup_lines > 3 AND 100 * n_dup_lines > 30 * n_lines
+        OR 100 * n_symbols > 5 * word_chars OR 100 * n_stutters > 30 * n_words OR 100 * n_exclaims > 60 * n_words
         OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM m
 """

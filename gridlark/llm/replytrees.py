@@ -30,8 +30,6 @@ from . import common
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
 TRAINED = "assistant"
-# No path is longer than 2 to this power.
-MOST_JUMPS = 40
 
 
 def linear(df: DataFrame, tree: str, turn: str, role: str, text: str) -> DataFrame:
@@ -51,8 +49,9 @@ def linear(df: DataFrame, tree: str, turn: str, role: str, text: str) -> DataFra
 def _jumps(links: DataFrame) -> list[DataFrame]:
     """For k = 0, 1, ..: (node, up, total) with the ancestor 2 to the k steps up and the scores on the way, while any has one."""
     out = [stored(links)]
+    most = out[0].count().bit_length() + 1  # no path has more steps than there are links
     while not out[-1].isEmpty():
-        if len(out) > MOST_JUMPS:
+        if len(out) > most:
             raise ValueError("the parents of some messages form a cycle")
         last = out[-1]
         then = last.select(F.col("node").alias("up"), F.col("up").alias("_further"), F.col("total").alias("_more"))

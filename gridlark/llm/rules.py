@@ -23,21 +23,22 @@ from . import common
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_exclaims"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_exclaims", "n_stutters"]
 
 # A rule's place is its bit.  Each says when a text fails.
 RULES = {
     "few_words": "n_words < 20",
     "repeated_windows": "100 * n_repeat_words > 30 * n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
-    "symbols": "100 * n_symbols > 20 * word_chars",
+    "repeated_lines": "n_dup_lines > 3 AND 100 * n_dup_lines > 30 * n_lines",
+    "symbols": "100 * n_symbols > 5 * word_chars",
     "exclaims": "100 * n_exclaims > 60 * n_words",
     "word_length": "word_chars < 2 * n_words OR word_chars > 20 * n_words",
+    "stutters": "100 * n_stutters > 30 * n_words",
 }
 # What counts, by version.
 POLICIES = {
     "base": ["few_words", "repeated_windows"],
-    "v1": ["few_words", "repeated_windows", "repeated_lines", "symbols", "exclaims", "word_length"],
+    "v1": ["few_words", "repeated_windows", "repeated_lines", "symbols", "exclaims", "word_length", "stutters"],
 }
 
 
@@ -101,6 +102,7 @@ def measure(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         "n_repeat_words": _repeated(word, row, rows),
         "n_lines": n_lines,
         "n_exclaims": per_row(data == 0x21),
+        "n_stutters": np.bincount(row[1:][(word[1:] == word[:-1]) & (row[1:] == row[:-1])], minlength=rows),
     }
 
 

@@ -47,6 +47,8 @@ FANOUT = 16
 RUN = 1024
 # Searches that go down together.
 TOGETHER = 4096
+# Rows of all tables that a task sorts and searches, about.
+TASK_ROWS = 1_000_000
 
 
 # --- fingerprints ------------------------------------------------------------------------------------------------
@@ -274,14 +276,15 @@ def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 
 def links(codes: DataFrame, fp: str = "fp") -> DataFrame:
-    """(a, b): links of different fingerprints, enough to join all that links join."""
+    """(a, b): links of different fingerprints, enough to join all that links join.  ``codes`` is read three times."""
     spark = codes.sparkSession
     rows = codes.select(F.col(fp).alias("fp"), F.explode(F.expr(_tables(f"`{fp}`"))).alias("_x"))
     rows = rows.select("fp", "_x.*")
     for step in (1, 2, 4, 8, 16, 32):  # the rank of a Gray code: each bit with all above it, added modulo 2
         rows = rows.withColumn("gray", F.expr(f"gray ^ shiftrightunsigned(gray, {step})"))
     keys = ["t", "bucket", "gray"]
-    dealt = rows.repartitionByRange(common.partitions(spark), *keys).sortWithinPartitions(*keys)
+    tasks = max(common.partitions(spark), -(-codes.count() * len(TABLES) // TASK_ROWS))
+    dealt = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     found = stored(dealt.select("t", "bucket", "fp").mapInArrow(_search, FOUND))
     runs = found.where("t IS NOT NULL")
     left = runs.selectExpr("t", "bucket", "run AS run_a", "low AS low_a", "high AS high_a")

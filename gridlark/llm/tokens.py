@@ -198,8 +198,11 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def _place(files: fs.FileSystem, written: str, name: str) -> None:
-    """Renames a whole file; a file of an earlier attempt has the same content."""
-    files.move(written, name)
+    """Renames a whole file, unless an earlier attempt has left the same."""
+    if files.get_file_info(name).type == fs.FileType.NotFound:
+        files.move(written, name)
+    else:
+        files.delete_file(written)
 
 
 def _encode(spec: str, end_id: int, width: int, folder: str) -> Callable:

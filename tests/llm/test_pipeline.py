@@ -27,9 +27,9 @@ def test_stages_against_brute_force(spark):
     assert gone and len(gone - toxic) <= 0.1 * len(raw)
 
     def ok(text):
-        n, chars, symbols, dup, repeat, lines, exclaims = measured(text or "")
-        bad = n < 20 or 100 * repeat > 30 * n or 100 * dup > 30 * lines or 100 * symbols > 20 * chars
-        return not (bad or 100 * exclaims > 60 * n or chars < 2 * n or chars > 20 * n)
+        n, chars, symbols, dup, repeat, lines, exclaims, stutters = measured(text or "")
+        bad = n < 20 or 100 * repeat > 30 * n or dup > 3 and 100 * dup > 30 * lines or 100 * symbols > 5 * chars
+        return not (bad or 100 * stutters > 30 * n or 100 * exclaims > 60 * n or chars < 2 * n or chars > 20 * n)
 
     assert sorted(good) == sorted(r for r in clean if ok(r.text))
     groups = {}

@@ -17,7 +17,7 @@ def measured(text):
     lines = [x for x in text.split("\n") if WORD.search(x)]
     return (
         len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
-        len(lines), text.count("!"),
+        len(lines), text.count("!"), sum(a == b for a, b in zip(words, words[1:])),
     )
 
 
@@ -26,9 +26,9 @@ def test_measurements(docs, rows):
     want = Counter((r[0], *measured(r[1] or "")) for r in rows)
     assert Counter(tuple(r)[:-1] for r in got) == want
     for r in got:
-        n, chars, symbols, dup, repeat, lines, exclaims = tuple(r)[1:-1]
-        bits = [n < 20, 100 * repeat > 30 * n, 100 * dup > 30 * lines, 100 * symbols > 20 * chars, 100 * exclaims > 60 * n,
-                chars < 2 * n or chars > 20 * n]
+        n, chars, symbols, dup, repeat, lines, exclaims, stutters = tuple(r)[1:-1]
+        bits = [n < 20, 100 * repeat > 30 * n, dup > 3 and 100 * dup > 30 * lines, 100 * symbols > 5 * chars,
+                100 * exclaims > 60 * n, chars < 2 * n or chars > 20 * n, 100 * stutters > 30 * n]
         assert r.fails == sum(1 << i for i, b in enumerate(bits) if b)
 
 
@@ -60,7 +60,7 @@ def test_filter_keeps_the_columns(docs, rows):
     assert kept.schema == docs.schema
     ok = Counter()
     for r in rows:
-        n, *_, repeat, _, _ = measured(r[1] or "")
+        n, *_, repeat, _, _, _ = measured(r[1] or "")
         ok[r[0]] += n >= 20 and 100 * repeat <= 30 * n
     assert Counter(r.doc_id for r in kept.collect()) == +ok
 

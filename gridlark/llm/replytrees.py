@@ -90,8 +90,10 @@ def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     paths = stored(picked.select("tree", "leaf", "rank", F.col("depth").alias("place"), F.col("leaf").alias("node")))
     # what lies 2 to the k above messages already found, for falling k, is every message once
     for k in reversed(range(len(jumps))):
-        found = paths.join(jumps[k].select("node", "up"), "node")
-        paths = paths.union(found.select("tree", "leaf", "rank", F.col("place") - (1 << k), F.col("up")))
+        joined = paths.join(jumps[k].select("node", "up"), "node", "left")
+        own, above = F.struct("place", "node"), F.struct((F.col("place") - (1 << k)).alias("place"), F.col("up").alias("node"))
+        both = F.when(F.col("up").isNull(), F.array(own)).otherwise(F.array(own, above))
+        paths = joined.select("tree", "leaf", "rank", F.explode(both).alias("_at")).select("tree", "leaf", "rank", "_at.*")
     return paths
 
 

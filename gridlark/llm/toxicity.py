@@ -165,7 +165,7 @@ def _fit(epochs: int) -> Callable:
             for label, index in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
         ]
         labels = {label for label, _ in examples}
-        model = fit(examples, epochs) if len(labels) == 2 else Model(30.0 if labels == {1} else -30.0, *np.zeros((2, 0)))
+        model = fit(examples, epochs) if len(labels) == 2 else Model(30.0 if labels == {1} else -30.0, *np.zeros((2, 0), np.float32))
         yield pa.RecordBatch.from_pydict(
             {"bias": [model.bias], "index": [model.index.astype("<i4").tobytes()], "weight": [model.weight.astype("<f4").tobytes()]}
         )
@@ -187,6 +187,8 @@ def train(
     found = chosen.select("id", "label", "text").mapInArrow(_examples, "id long, label int, features binary")
     in_order = found.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").select("label", "features")
     row = in_order.mapInArrow(_fit(epochs), "bias double, index binary, weight binary").first()
+    if row is None:  # nothing to learn from
+        return Model(-30.0, np.zeros(0, np.int32), np.zeros(0, np.float32))
     return Model(row.bias, np.frombuffer(row["index"], "<i4"), np.frombuffer(row["weight"], "<f4"))
 
 

@@ -1,15 +1,17 @@
 import random
+import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from published import BEIJING
 from pyspark.sql import functions as F
 
-from gridlark.functions import s2_cell_id, s2_cell_level
-from gridlark.operators import rectcover
+from gridlark.functions import s2_cell_id, s2_cell_level, wkt
+from gridlark.operators import coverings, rectcover
 from gridlark.operators.coverings import covering, interior_covering
 
-BEIJING = "POLYGON((116.0 39.0, 117.0 39.0, 117.0 40.0, 116.0 40.0, 116.0 39.0))"
-
 
 def boxes():
     rng = random.Random(11)
@@ -115,3 +117,37 @@ def test_text_that_is_no_geometry(spark):
             "MULTIPOLYGON(((1 2, 3 4, 5 1, 1 2)), ((7 8, 9 9, 8 7, 7 8)))"]
     df = spark.createDataFrame([(w,) for w in good], "wkt string")
     assert covering(df, "wkt", 0, 5).select("wkt").distinct().count() == len(good)
+
+
+def test_nested_collections(spark):
+    inner = "GEOMETRYCOLLECTION(POINT(5 6), GEOMETRYCOLLECTION Z (LINESTRING(1 2, 3 4)))"
+    rows = [f"GEOMETRYCOLLECTION({inner}, {inner}, POINT(9 9))", f"GEOMETRYCOLLECTION({inner}", "GEOMETRYCOLLECTION(GEOMETRYCOLLECTION())"]
+    df = spark.createDataFrame([(w,) for w in rows], "wkt string").selectExpr(f"{wkt.bounds('wkt')} AS b")
+    got = [r.b and tuple(r.b) for r in df.collect()]
+    assert got == [(2, 9, 1, 9), None, None]
+
+
+def test_searches_hold_a_bounded_number_of_cells():
+    """A batch of boxes that are bound to many cells is cut; memory doesn't follow the batch."""
+    rng = random.Random(1)
+    corners = [(rng.uniform(-80, 70), rng.uniform(-170, 160)) for _ in range(300)]
+    box = pa.StructArray.from_arrays(
+        [pa.array(x) for x in zip(*((a, a + 3, b, b + 4) for a, b in corners))], list(coverings._BOX)
+    )
+    n, peaks = len(box), []
+    for size in (100, 300):
+        tracemalloc.start()
+        args = (pa.array([v] * size) for v in (10, 10, 64))
+        got = coverings._cover_batch(box.slice(0, size), *args, interior=False)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert len(got) == size and min(got.value_lengths().to_pylist()) > 20
+    assert len(got) == n and peaks[1] < 1.8 * peaks[0] < 600e6
+
+
+def test_interior_of_a_wide_box_at_a_deep_level():
+    box = rectcover.Rects.of_degrees([-20.0], [20.0], [10.0], [70.0])
+    start = time.perf_counter()
+    owner, ids = rectcover.cover(box, [24], [24], [20], True)
+    assert time.perf_counter() - start < 5 and 1 <= len(ids) <= 20
+    assert set(owner.tolist()) == {0} and len(set(ids.tolist())) == len(ids)

@@ -3,7 +3,9 @@
 import math
 
 import numpy as np
+import published
 import pytest
+from published import EAST, HERE, NEAR_HERE
 from tiffs import write_tiff
 
 from gridlark import functions
@@ -11,7 +13,8 @@ from gridlark.operators.coverings import covering
 from gridlark.register import register, register_rasters
 from gridlark.sources.geotiff import read_geotiff
 
-BEIJING = "'POLYGON((116.0 39.0, 117.0 39.0, 117.0 40.0, 116.0 40.0, 116.0 39.0))'"
+BEIJING = f"'{published.BEIJING}'"
+COARSE, FINE = published.LEVELS
 
 
 @pytest.fixture(scope="module")
@@ -21,15 +24,15 @@ def sql(spark):
 
 
 def test_scalars(sql):
-    cell = "s2_cell_id(39.9, 116.4, 10)"
-    assert sql(f"SELECT {cell} > 0")[0][0]
-    assert sql(f"SELECT s2_contains({cell}, 39.9001, 116.4001)")[0][0]
-    d = sql("SELECT s2_distance_meters(s2_cell_id(39.9, 116.4, 8), s2_cell_id(40.0, 117.0, 8))")[0][0]
-    assert 10_000 < d < 200_000
-    parent = sql(f"SELECT s2_parent({cell}, 8), {cell}")[0]
-    assert parent[0] > 0 and parent[0] != parent[1]
-    assert sql(f"SELECT s2_area_m2({cell}, 10)")[0][0] > 0
-    assert sql(f"SELECT s2_cell_level({cell})")[0][0] == 10
+    cell = f"s2_cell_id({HERE}, {FINE})"
+    south = "s2_cell_id(-89.9, 12.5, 3)"  # on face 5: a negative id
+    assert sql(f"SELECT {cell}, {south} < 0")[0] == (3886697737885843456, True)
+    assert sql(f"SELECT s2_contains({cell}, {NEAR_HERE}), s2_contains({cell}, {EAST}), s2_contains({south}, -90, 0)")[0] == (True, False, True)
+    far = sql(f"SELECT s2_distance_meters(s2_cell_id({HERE}, {COARSE}), s2_cell_id({EAST}, {COARSE}))")[0][0]
+    assert far == pytest.approx(54_000, rel=0.5)
+    assert sql(f"SELECT s2_parent({cell}, {COARSE}) = s2_cell_id({HERE}, {COARSE}), s2_parent({south}, 31)")[0] == (True, None)
+    assert sql(f"SELECT s2_area_m2({cell}, {FINE})")[0][0] == pytest.approx(7.3e7, rel=0.2)
+    assert sql(f"SELECT s2_cell_level({cell}), s2_cell_level({south})")[0] == (FINE, 3)
     assert sql(f"SELECT s2_to_geo({cell}), s2_cell_vertex({cell}, 0)")[0] == (
         "POINT(116.3721711 39.9351673)", "POINT(116.3249438 39.9083473)")
     assert sql(f"SELECT s2_hex_to_cell(s2_cell_to_hex({cell})) = {cell}")[0][0]
@@ -40,8 +43,8 @@ def test_generators(sql):
     assert sql(f"SELECT count(*) FROM s2_covering({BEIJING}, 8, 10)") == [(57,)]
     assert sql(f"SELECT count(*) FROM s2_interior_covering({BEIJING}, 8, 10, 64)") == [(24,)]
     assert sql("SELECT count(*) FROM s2_covering('x', 8, 10)") == [(0,)]
-    one = "(SELECT s2_cell_id(39.9, 116.4, 8) AS c)"
-    assert sql(f"SELECT count(*) FROM {one}, LATERAL s2_children(c, 12)") == [(256,)]
+    one = f"(SELECT s2_cell_id({HERE}, {COARSE}) AS c)"
+    assert sql(f"SELECT count(*) FROM {one}, LATERAL s2_children(c, {published.CHILD_LEVEL})") == [(published.CHILDREN,)]
     assert sql(f"SELECT count(*) FROM {one}, LATERAL s2_children(c, 7)") == [(0,)]
     assert sorted(sql(f"SELECT neighbor_id FROM {one}, LATERAL s2_cell_neighbors(c)")) == sorted(
         [(3886659254978871296,), (3887081467443937280,), (3886870361211404288,), (3886729623723048960,)]
@@ -60,7 +63,7 @@ def test_covering_as_the_operator(spark, sql, level):
 
 
 def test_deep_children(sql):
-    one = "(SELECT s2_cell_id(39.9, 116.4, 8) AS c)"
+    one = f"(SELECT s2_cell_id({HERE}, {COARSE}) AS c)"
     assert sql(f"SELECT count(*), count(DISTINCT child_id) FROM {one}, LATERAL s2_children(c, 18)") == [(4**10, 4**10)]
 
 

@@ -211,7 +211,7 @@ def s2_cell_union_intersects(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def s2_cell_union_area(spark: SparkSession, sf: str) -> DataFrame:
     blob = unions.s2_cell_union_pack.add(_tokens(spark, sf), "cells", "csv")
-    area = union_ops.cell_union_area(blob, ["id"], "cells", "area")
+    area = union_ops.add_union_area(blob, "cells", "area")
     return area.select("id", F.round(F.col("area") / 1e6, 1).alias("area_km2"))
 
 

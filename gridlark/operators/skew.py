@@ -2,19 +2,14 @@
 
 How a join runs is left to Spark: a side that its statistics, or the shuffle that adaptive execution has just
 measured, show to be below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast; otherwise both are shuffled and
-adaptive execution splits the partitions of frequent keys of either side.  Nothing is run only to size it.
+adaptive execution (on by default) splits the partitions of frequent keys of either side.  Nothing is run only to size it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-_NEEDED = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-
 
 def join_large(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """``left`` joined to ``right``.  ``how``: inner, left, left_semi or left_anti."""
-    conf = left.sparkSession.conf
-    if any(conf.get(name) != "true" for name in _NEEDED):
-        raise ValueError(f"frequent keys need {' and '.join(_NEEDED)}")
     return left.join(right, on, how)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # Rows that Spark hands to Python at once, so that a batch of long texts stays small.
 BATCH_ROWS = 1000
 # Bytes of text that Python works on at once (a longer text is worked on alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # A key with over 1/HOT_SHARE of all rows is hot; so there are at most HOT_SHARE - 1.
 HOT_SHARE = 1000
 NUMBERS = ("int", "bigint", "double")

@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 
 from . import common
 
-KEPT_PARTS = 300_000
+KEPT_PARTS = 200_000
+# Bytes of text that are encoded at once.
+STEP_BYTES = 2 << 20
 # Parts of more bytes have a heap of their own.
 SHORT = 128
 _NONE = np.iinfo(np.int32).max
@@ -232,8 +234,8 @@ class Encoder:
         cut = vocabulary.cuts(codes)
         cut[at[:-1][at[:-1] < len(codes)]] = True
         starts = np.flatnonzero(cut)
-        width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
-        byte = np.r_[0, np.cumsum(width)]
+        width = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+        byte = np.r_[0, np.cumsum(width, dtype=np.int64)]
         buffers = [None, pa.py_buffer(byte[np.r_[starts, len(codes)]]), pa.py_buffer("".join(normal).encode())]
         parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
         raw, ends = common.utf8(parts.dictionary)
@@ -276,7 +278,7 @@ def encoded(df: DataFrame, text: str, model: str) -> Column:
         encoder = Encoder(sent.value)
         for column in batches:
             parts = []
-            for a, b in common.slices(column):
+            for a, b in common.slices(column, STEP_BYTES):
                 ids, first = encoder(column.slice(a, b - a).to_pylist())
                 parts.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids)))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))

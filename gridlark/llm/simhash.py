@@ -94,7 +94,7 @@ def fingerprint(df: DataFrame, text: str) -> Column:
     @F.arrow_udf(T.LongType())
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = [fingerprints(*common.utf8(texts.slice(a, b - a))) for a, b in common.slices(texts, 1 << 20)]
+            found = [fingerprints(*common.utf8(texts.slice(a, b - a))) for a, b in common.slices(texts)]
             yield pa.array(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))
 
     return run(common.text_of(df, text))

@@ -1,0 +1,178 @@
+"""Near copies of texts: pairs whose sets of five-word shingles have a Jaccard likeness of ``LEAST`` at least, exactly.
+
+Words are runs of characters other than ASCII white space, with ASCII letters lower case; a text of one to four words is
+one shingle, a text without words has none and no near copy.
+
+Pairs are found without comparing all.  In any one order of all shingles, two sets of that likeness share one of the
+first ``n - ceil(LEAST * n) + 1`` of their ``n`` shingles, so only texts that share one of these are compared, and only
+if their sizes, and the places of the shared shingle, allow it.  The order is by hash, with shingles that are frequent in
+a sample of the texts last; the sample decides how many pairs are compared, never which are found.
+
+Only what joins components is looked for: each text comes with a component, and a shingle whose texts are all in one is
+left.  Texts of a shingle are first compared to one of them, then to another, so that a large group becomes one component
+by as many pairs as it has texts; after that all pairs of different components are compared.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import stored
+from . import common
+from .components import components
+
+SHINGLE = 5
+# The least likeness, in tenths.
+LEAST = 8
+# One text of so many is in the sample; shingles that occur in so many of its texts are frequent, the most frequent first.
+SAMPLED = 16
+FREQUENT = 4
+MOST_FREQUENT = 100_000
+# So many keys go to all tasks.
+SENT_KEYS = 1_000_000
+# So many links are joined by the driver, more of them by Spark.
+DRIVER_LINKS = 100_000
+
+
+def shingles(data: np.ndarray, at: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different shingles of the rows that start at ``at``, in order (those of the sorted ``last`` at the end), and how many each row has."""
+    from .simhash import hashes
+
+    found, count = hashes(data, at, SHINGLE)
+    found = found.view(np.int64)
+    row = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((found, row))
+    found, row = found[order], row[order]
+    first = np.r_[True, (found[1:] != found[:-1]) | (row[1:] != row[:-1])][: len(found)]
+    found, row = found[first], row[first]
+    if len(last):
+        order = np.lexsort((last[np.minimum(np.searchsorted(last, found), len(last) - 1)] == found, row))
+        found = found[order]
+    return found, np.bincount(row, minlength=len(count))
+
+
+def _sets(texts: Column) -> Column:
+    """All different shingles of each text."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        none = np.zeros(0, np.int64)
+        for column in batches:
+            parts = []
+            for a, b in common.slices(column):
+                found, n = shingles(*common.utf8(column.slice(a, b - a)), none)
+                parts.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(found)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
+    return run(texts)
+
+
+def _prefixes(last: np.ndarray):
+    """(key, n, prefix) for (key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1)
+            for a, b in common.slices(texts):
+                found, n = shingles(*common.utf8(texts.slice(a, b - a)), last)
+                size = np.where(n > 0, n - -(-LEAST * n // 10) + 1, 0)
+                ends = np.cumsum(size)
+                take = np.arange(size.sum()) + np.repeat(np.cumsum(n) - n - (ends - size), size)
+                prefix = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(found[take]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int32()), prefix], ["key", "n", "prefix"])
+
+    return run
+
+
+def _frequent(texts: DataFrame) -> np.ndarray:
+    """Shingles that occur in many sampled texts, sorted."""
+    sample = texts.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLED)) == 0).select(F.explode(_sets(F.col("text"))).alias("h"))
+    many = sample.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    return np.sort(np.array([r.h for r in many.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).collect()], np.int64))
+
+
+def _possible(a: str, b: str) -> Column:
+    """Whether sizes, and what follows the shared shingle in both, leave room for the likeness."""
+    overlap = f"least({a}.n - {a}.place, {b}.n - {b}.place) + least({a}.place, {b}.place)"
+    return F.expr(f"{a}.root <> {b}.root AND {10 + LEAST} * ({overlap}) >= {LEAST} * ({a}.n + {b}.n)")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (key_a, root_a, key_b, root_b) that are near copies, as links of their components."""
+    pairs = stored(pairs.distinct())
+    keys = stored(pairs.select(F.col("key_a").alias("key")).unionAll(pairs.select(F.col("key_b").alias("key"))).distinct())
+    if keys.count() <= SENT_KEYS:  # else the texts are shuffled
+        keys = F.broadcast(keys)
+    sets = stored(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]).select("key", _sets(F.col("text")).alias("set")))
+    a, b = (sets.select(F.col("key").alias(f"key_{x}"), F.col("set").alias(f"set_{x}")) for x in "ab")
+    both = common.lookup(common.lookup(pairs, b, "key_b"), a, "key_a")
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    near = (10 + LEAST) * shared >= LEAST * (F.size("set_a") + F.size("set_b"))
+    return both.where(near).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+
+
+def _moved(links: DataFrame) -> DataFrame:
+    """(root, _to) for each end of ``links`` (a, b): the least that links join it to."""
+    links = stored(links.distinct())
+    if links.count() > DRIVER_LINKS:
+        return stored(components(links).select(F.col("node").alias("root"), F.col("root").alias("_to")))
+    own: dict[int, int] = {}
+
+    def end(x: int) -> int:
+        while own.setdefault(x, x) != x:
+            own[x] = own[own[x]]
+            x = own[x]
+        return x
+
+    for a, b in links.collect():
+        a, b = end(a), end(b)
+        own[max(a, b)] = min(a, b)
+    return links.sparkSession.createDataFrame([(x, end(x)) for x in list(own)], "root long, _to long")
+
+
+def joined(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, joint) for components that near copies join, from (key, text) and the component of each key (key, root).
+
+    Equal keys have equal texts; ``joint`` is the least root joined.  ``texts`` is read several times.
+    """
+    common.small_batches(texts.sparkSession)
+    prefixes = texts.mapInArrow(_prefixes(_frequent(texts)), "key long, n int, prefix array<long>")
+    # a text once, however many rows have it
+    prefixes = stored(prefixes.dropDuplicates(["key"]))
+    rows = prefixes.join(roots, "key").select("key", "root", "n", F.posexplode("prefix").alias("place", "h"))
+    rows = stored(rows)
+    ends = rows.groupBy("h").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_n"))
+    several = stored(ends.where("_low <> _high").select("h", "_n"))
+    rows = stored(common.lookup(rows, several.select("h"), "h", hot=several))
+    found = rows.select(F.col("root"), F.col("root").alias("joint")).where("false")
+    if several.isEmpty():
+        return found
+    for pick in (F.min, F.max, None):
+        live = F.struct("root", "key", "n", "place")
+        if pick:
+            ends = rows.groupBy("h").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), pick(live).alias("hub"), F.count("*").alias("_n"))
+            hubs = stored(ends.where("_low <> _high").select("h", "hub", "_n"))
+            met = common.lookup(rows.select("h", live.alias("own")), hubs.select("h", "hub"), "h", hot=hubs.select("h", "_n"))
+        else:
+            ends = rows.groupBy("h").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+            open_ = rows.join(ends.where("_low <> _high").select("h"), "h")
+            left, right = open_.select("h", live.alias("own")), open_.select("h", live.alias("hub"))
+            met = left.join(right, "h").where("own.key < hub.key")
+        pairs = met.where(_possible("own", "hub"))
+        pairs = pairs.selectExpr("own.key AS key_a", "own.root AS root_a", "hub.key AS key_b", "hub.root AS root_b")
+        moved = _moved(_linked(pairs, texts))
+        if moved.isEmpty():
+            continue
+        then = moved.select(F.col("root").alias("joint"), "_to")
+        found = found.join(then, "joint", "left").select("root", F.coalesce("_to", "joint").alias("joint"))
+        new = moved.join(found.select("root"), "root", "left_anti").select("root", F.col("_to").alias("joint"))
+        found = stored(found.unionAll(new))
+        there = common.lookup(rows, moved, "root", how="left")
+        rows = stored(there.withColumn("root", F.coalesce("_to", "root")).select(*rows.columns))
+    return found

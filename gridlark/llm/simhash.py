@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from ..session import stored
 from . import common
 from .components import components
+from .nearcopies import joined
 
 SHINGLE = 4
 SEED = 42
@@ -54,7 +55,7 @@ TASK_ROWS = 1_000_000
 # --- fingerprints ------------------------------------------------------------------------------------------------
 
 
-def hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def hashes(data: np.ndarray, at: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of the rows that start at ``at``, and how many each row has."""
     import xxhash
 
@@ -67,10 +68,10 @@ def hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     take = np.arange(place[-1]) + np.repeat(starts - place[:-1], np.diff(place))
     joined = np.r_[lower, np.uint8(0)][take]
     joined[place[1:] - 1] = 0x20
-    count = np.where(words > 0, np.maximum(words - SHINGLE + 1, 1), 0)
+    count = np.where(words > 0, np.maximum(words - shingle + 1, 1), 0)
     first = np.cumsum(words) - words
     i = np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
-    last = np.minimum(i + SHINGLE, np.repeat(first + words, count))
+    last = np.minimum(i + shingle, np.repeat(first + words, count))
     text, digest = joined.tobytes(), xxhash.xxh64_intdigest
     spans = zip(place[i].tolist(), (place[last] - 1).tolist())
     return np.fromiter((digest(text[a:b], SEED) for a, b in spans), np.uint64, len(i)), count
@@ -318,13 +319,20 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def one_of_each(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row of ``df`` for each component: that with the least id, of equal ids that with the least hash of its text."""
+    """One row of ``df`` for each component: that with the least id, of equal ids that with the least hash of its text.
+
+    Components are those of fingerprints within ``MOST`` bits and of near copies (``nearcopies``) together.
+    """
     row, id_, hash_ = F.struct(*(df[f"`{c}`"] for c in df.columns)), df[f"`{doc_id}`"], F.xxhash64(common.text_of(df, text))
     own = [F.coalesce(id_.cast("bigint"), F.lit(0)).alias("_id"), id_.isNull().alias("_none"), hash_.alias("_hash")]
     prints = stored(df.select(*own, id_.alias("doc_id"), fingerprint(df, text).alias("fp")))
     groups = stored(grouped(prints))
     hot = groups.select("fp", F.col("n").alias("_n"))
-    placed = common.lookup(prints, groups.select("fp", "root"), "fp", hot=hot)
+    placed = stored(common.lookup(prints, groups.select("fp", "root"), "fp", hot=hot))
+    roots = placed.select(F.col("_hash").alias("key"), "root").distinct()
+    bodies = df.select(hash_.alias("key"), common.text_of(df, text).alias("text"))
+    joint = joined(bodies, roots)
+    placed = common.lookup(placed, joint, "root", how="left").withColumn("root", F.coalesce("joint", "root"))
     key = ["_none", "_id", "_hash"]
     best = placed.groupBy("root").agg(F.min(F.struct(*key)).alias("_key")).select("_key.*")
     counts = prints.groupBy(*key).agg(F.count("*").alias("_n"))

@@ -7,7 +7,8 @@ FTRL-proximal keeps a learning rate for each coordinate, and its L1 term leaves
 model is a short list of coordinates and weights that goes to all tasks.
 
 Training takes a sample of at most ``rows`` labelled documents: as many of the rarer class as there are, up to half, in
-the order of a hash of their ids.  Only ids and labels are sorted for it; texts of sampled documents alone are read by
+the order of a hash of their ids.  The bias is then corrected by the log-odds of the classes' sampling rates, so scores
+are those of the labels' own mix whatever the size.  Only ids and labels are sorted for it; texts of sampled documents alone are read by
 the one task that trains.  Scoring reads every whole text.
 
 A null text counts as empty; a text without words scores the model's bias.  Labels that are null, or whose id is, are
@@ -131,17 +132,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _sampled(labels: DataFrame, rows: int) -> DataFrame:
+def _labelled(labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """One label for each id, and how many ids have each."""
     known = labels.where("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
-    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    return known, {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+
+
+def _take(counts: dict[int, int], rows: int) -> dict[int, int]:
     rare = min((0, 1), key=lambda y: counts.get(y, 0))
     some = min(counts.get(rare, 0), rows // 2)
-    take = {rare: some, 1 - rare: rows - some}
+    return {rare: some, 1 - rare: rows - some}
+
+
+def _sampled(labels: DataFrame, rows: int) -> DataFrame:
+    known, counts = _labelled(labels)
     order = (F.xxhash64("id"), "id")
-    parts = [known.where(F.col("label") == y).orderBy(*order).limit(n) for y, n in take.items()]
+    parts = [known.where(F.col("label") == y).orderBy(*order).limit(n) for y, n in _take(counts, rows).items()]
     return parts[0].union(parts[1])
 
 
+def shift(counts: dict[int, int], rows: int) -> float:
+    """What the bias of a model from the sample lacks: the log-odds of the classes' sampling rates."""
+    if not (counts.get(0) and counts.get(1)):
+        return 0.0
+    rate = {y: min(n / counts[y], 1.0) for y, n in _take(counts, rows).items()}
+    return float(np.log(rate[0] / rate[1]))
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(2)
@@ -180,16 +197,18 @@ def train(
     """Learns 0/1 labels from at most ``rows`` labelled documents that aren't held out."""
     common.small_batches(docs.sparkSession)
     known = labels.select(labels[f"`{label_id}`"].alias("id"), labels[f"`{label}`"].cast("int").alias("label"))
-    sample = F.broadcast(_sampled(known.where(~held_out(F.col("id"))), rows))  # at most ``rows`` pairs of numbers
+    known = known.where(~held_out(F.col("id")))
+    sample = F.broadcast(_sampled(known, rows))  # at most ``rows`` pairs of numbers
     texts = docs.select(docs[f"`{doc_id}`"].alias("id"), common.text_of(docs, text).alias("text"))
     # a repeated id counts once
     chosen = texts.join(sample, "id").groupBy("id", "label").agg(F.max("text").alias("text"))
     found = chosen.select("id", "label", "text").mapInArrow(_examples, "id long, label int, features binary")
-    in_order = found.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").select("label", "features")
+    # another order than the sample's, in which a class that is thinned out would come first
+    in_order = found.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(1)), "id").select("label", "features")
     row = in_order.mapInArrow(_fit(epochs), "bias double, index binary, weight binary").first()
     if row is None:  # nothing to learn from
         return Model(-30.0, np.zeros(0, np.int32), np.zeros(0, np.float32))
-    return Model(row.bias, np.frombuffer(row["index"], "<i4"), np.frombuffer(row["weight"], "<f4"))
+    return Model(row.bias + shift(_labelled(known)[1], rows), np.frombuffer(row["index"], "<i4"), np.frombuffer(row["weight"], "<f4"))
 
 
 def scored(df: DataFrame, text: str, model: Model) -> Column:

@@ -84,3 +84,12 @@ def test_the_sample_is_bounded(spark):
     got = {r.label: r.n for r in toxicity._sampled(df, 300).groupBy("label").agg(F.count("*").alias("n")).collect()}
     assert got == {1: 100, 0: 200}
     assert toxicity._sampled(df, 100).groupBy("label").count().where("count = 50").count() == 2
+
+
+def test_a_bounded_sample_keeps_the_mix_of_the_labels(spark):
+    """Texts that tell nothing score the share of toxic labels, however the sample is mixed."""
+    df = spark.range(1500).selectExpr("id AS doc_id", "'the same few words' AS text", "CAST(id % 10 = 0 AS INT) AS toxic")
+    for rows in (120, 12_000):
+        model = toxicity.train(df, df, "doc_id", "text", "doc_id", "toxic", rows=rows)
+        got = df.limit(1).select(toxicity.scored(df, "text", model)).first()[0]
+        assert 0.02 < got < 0.3, (rows, got)

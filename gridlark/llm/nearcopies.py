@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..session import stored
 from . import common
@@ -143,10 +144,12 @@ def joined(texts: DataFrame, roots: DataFrame) -> DataFrame:
     """
     common.small_batches(texts.sparkSession)
     prefixes = texts.mapInArrow(_prefixes(_frequent(texts)), "key long, n int, prefix array<long>")
-    # a text once, however many rows have it
-    prefixes = stored(prefixes.dropDuplicates(["key"]))
-    rows = prefixes.join(roots, "key").select("key", "root", "n", F.posexplode("prefix").alias("place", "h"))
-    rows = stored(rows)
+    each = prefixes.select("key", "n", F.posexplode("prefix").alias("place", "h"))
+    # each row moves once; a shingle has no more rows than there are texts
+    of = Window.partitionBy("h")
+    each = each.withColumns({"_low": F.min("key").over(of), "_high": F.max("key").over(of)})
+    each = stored(each.where("_low <> _high").select("h", "key", "n", "place").distinct())
+    rows = stored(common.lookup(each, roots, "key").select("h", "root", "key", "n", "place"))
     ends = rows.groupBy("h").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_n"))
     several = stored(ends.where("_low <> _high").select("h", "_n"))
     rows = stored(common.lookup(rows, several.select("h"), "h", hot=several))

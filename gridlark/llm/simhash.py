@@ -36,7 +36,6 @@ from pyspark.sql import types as T
 from ..session import stored
 from . import common
 from .components import components
-from .nearcopies import joined
 
 SHINGLE = 4
 SEED = 42
@@ -319,21 +318,14 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def one_of_each(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row of ``df`` for each component: that with the least id, of equal ids that with the least hash of its text.
-
-    Components are those of fingerprints within ``MOST`` bits and of near copies (``nearcopies``) together.
-    """
-    row, id_, hash_ = F.struct(*(df[f"`{c}`"] for c in df.columns)), df[f"`{doc_id}`"], F.xxhash64(common.text_of(df, text))
-    own = [F.coalesce(id_.cast("bigint"), F.lit(0)).alias("_id"), id_.isNull().alias("_none"), hash_.alias("_hash")]
+    """One row of ``df`` for each component: that with the least id, of equal ids that with the least digest of its text."""
+    row, id_, digest = F.struct(*(df[f"`{c}`"] for c in df.columns)), df[f"`{doc_id}`"], F.unhex(F.sha2(common.text_of(df, text), 256))
+    own = [F.coalesce(id_.cast("bigint"), F.lit(0)).alias("_id"), id_.isNull().alias("_none"), digest.alias("_digest")]
     prints = stored(df.select(*own, id_.alias("doc_id"), fingerprint(df, text).alias("fp")))
     groups = stored(grouped(prints))
     hot = groups.select("fp", F.col("n").alias("_n"))
-    placed = stored(common.lookup(prints, groups.select("fp", "root"), "fp", hot=hot))
-    roots = placed.select(F.col("_hash").alias("key"), "root").distinct()
-    bodies = df.select(hash_.alias("key"), common.text_of(df, text).alias("text"))
-    joint = joined(bodies, roots)
-    placed = common.lookup(placed, joint, "root", how="left").withColumn("root", F.coalesce("joint", "root"))
-    key = ["_none", "_id", "_hash"]
+    placed = common.lookup(prints, groups.select("fp", "root"), "fp", hot=hot)
+    key = ["_none", "_id", "_digest"]
     best = placed.groupBy("root").agg(F.min(F.struct(*key)).alias("_key")).select("_key.*")
     counts = prints.groupBy(*key).agg(F.count("*").alias("_n"))
     best = stored(best.join(counts, key))

@@ -117,31 +117,3 @@ def test_components_of_paths_and_stars(spark):
 def test_empty_table(no_docs):
     assert simhash.near_duplicates(no_docs, "doc_id", "text").count() == 0
     assert simhash.one_of_each(no_docs, "doc_id", "text").count() == 0
-
-
-def test_one_of_each_leaves_one_of_near_copies(spark):
-    """Texts of 200 words with up to four changed: far apart in bits, near in shingles."""
-    rng = np.random.default_rng(9)
-    texts = []
-    for _ in range(12):
-        words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
-        for edits in (0, 1, 2, 3, 4, 9):
-            own = list(words)
-            for k in rng.choice(200, edits, replace=False):
-                own[k] = f"x{rng.integers(0, 10**9)}"
-            texts.append(" ".join(own))
-    texts += ["Three Equal words", "three equal words", "", " "]
-    sets = []
-    for t in texts:
-        words = t.lower().split()
-        sets.append({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
-    root = classes([fingerprint(t) for t in texts])
-    before = len(set(root))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if 10 * len(a & b) >= 8 * len(a | b) and root[i] != root[j]:
-                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-    assert len(set(root)) < before - 12
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = sorted(r.doc_id for r in simhash.one_of_each(df, "doc_id", "text").collect())
-    assert got == sorted({r: root.index(r) for r in root}.values())

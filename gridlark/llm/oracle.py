@@ -96,10 +96,107 @@ SELECT doc_id, CAST(octet_length(encode(t)) + 8 AS BIGINT) AS size, CAST(crc AS
 FROM docs JOIN placed USING (x) JOIN sums USING (x)
 """
 
+_AUDIT = r"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM docs),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+    SELECT doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, (
+        CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS f
+    FROM words LEFT JOIN marks USING (doc_id)
+),
+filters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS o FROM filters a, filters b, filters c, filters d, filters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (SELECT o AS filter_order, CAST(k AS INT) AS step, o[k] AS own FROM orders, (SELECT unnest(range(1, 6)) AS k)),
+-- where a set of failures is removed by an order (6: nowhere)
+fate AS (
+    SELECT f, o, list_min(list_append(list_transform(string_split(f, ''), lambda x: CASE WHEN x = '' THEN 6 ELSE instr(o, x) END), 6)) AS place
+    FROM (SELECT DISTINCT f FROM failed), orders
+),
+counted AS (
+    SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY part, f
+),
+report AS (
+    SELECT part, filter_order, step, own,
+        sum(n) FILTER (place > step) AS kept, sum(n) FILTER (place = step) AS removed,
+        sum(n) FILTER (contains(f, own) AND place < step) AS redundant, sum(n) FILTER (f = own) AS unique_fails,
+        sum(good) FILTER (place = step) AS good_lost, sum(toxic) FILTER (place = step) AS toxic_lost
+    FROM counted JOIN fate USING (f) JOIN steps ON o = filter_order GROUP BY part, filter_order, step, own
+),
+shares AS (SELECT part, own, sum(removed) AS shapley FROM report GROUP BY part, own)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+    CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+    CAST(coalesce(shapley, 0) AS BIGINT) AS shapley
+FROM report JOIN shares USING (part, own)
+"""
+
+def _merkle() -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", "{text}")
+    value = [f"CAST({c} AS VARCHAR)" for c in fields]
+    row = " || ".join(f"coalesce(CAST(octet_length(encode({v})) AS VARCHAR) || ':' || {v}, '-')" for v in value)
+
+    def levels(name: str, leaves: str) -> str:
+        return f"""{name} AS (
+    SELECT 0 AS lvl, p, i, n, h FROM {leaves}
+    UNION ALL
+    SELECT lvl + 1, p, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY lvl, p, i // 3, n
+), {name}_beside AS (
+    SELECT a.lvl, a.p, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+        coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+    FROM {name} a JOIN {name} b ON a.lvl = b.lvl AND a.p = b.p AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY a.lvl, a.p, a.i
+)"""
+
+    def path(name: str, start: str) -> str:
+        return f"""{name}_path AS (
+    SELECT r, 0 AS lvl, p, i, n, h, proof, 0 AS done FROM {start}
+    UNION ALL
+    SELECT x.r, x.lvl + 1, x.p, x.i // 3, (x.n + 2) // 3, sha256(b.l || x.h || b.r), x.proof || b.l || b.r, 0
+    FROM {name}_path x JOIN {name}_beside b ON x.lvl = b.lvl AND x.p = b.p AND x.i = b.i WHERE x.n > 1
+)"""
+
+    return f"""
+WITH RECURSIVE byte_rule AS (
+    SELECT list(c ORDER BY b) AS rule FROM (
+        SELECT b, list_reduce(list_prepend(CAST(b AS BIGINT), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS b)
+    )
+), docs AS (
+    SELECT documents.*, row_number() OVER () AS r, xor(1, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, v: xor(c >> 8, rule[CAST(xor(c, v) & 255 AS INT) + 1])) & 1) AS odd
+    FROM documents, byte_rule
+), leaf AS (
+    SELECT r, doc_id, coalesce('=' || source, '') AS p, sha256({row.format(text="text")}) AS leaf,
+        sha256({row.format(text="(CASE WHEN odd = 0 THEN replace(text, chr(10), '') ELSE text END)")}) AS other
+    FROM docs
+), placed AS (
+    SELECT *, leaf AS h, row_number() OVER (PARTITION BY p ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY p) AS n FROM leaf
+), {levels("sub", "placed")},
+top_leaves AS (
+    SELECT p AS name, '' AS p, row_number() OVER (ORDER BY p) - 1 AS i, count(*) OVER () AS n, h FROM sub WHERE n = 1
+), {levels("top", "top_leaves")},
+own AS (SELECT r, p, i, n, other AS h, '' AS proof FROM placed),
+{path("sub", "own")},
+half AS (
+    SELECT x.r, t.p, t.i, t.n, x.h, x.proof FROM sub_path x JOIN top_leaves t ON x.p = t.name WHERE x.n = 1
+), {path("top", "half")}
+SELECT doc_id, leaf, t.h AS subroot, root.h AS root, sha256(x.proof) AS proof_sha256, x.h AS folded_root, x.h = root.h AS verified
+FROM top_path x JOIN placed USING (r) JOIN top_leaves t ON placed.p = t.name JOIN (SELECT h FROM top WHERE n = 1) root ON x.n = 1
+"""
+
 
 ORACLE = {
     "op3_reply_trees": _CHAT,
     "op5_rule_ledger": _RULES,
     "op7_content_archive": _ARCHIVE,
     "op9_feistel_shards": _shards(),
+    "op12_filter_audit": _AUDIT,
+    "op13_merkle_bitmaps": _merkle(),
 }

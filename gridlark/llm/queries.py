@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder, stored
-from . import feistel, fingerprints, mixing, pieces, replytrees, rules, simhash, tokens, toxicity, warc
+from . import audit, feistel, fingerprints, manifest, mixing, pieces, prefixes, replytrees, rules, simhash, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +118,24 @@ def op8_piece_agenda(spark: SparkSession, sf: str) -> DataFrame:
 def op10_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf, "documents"), "doc_id", "text")
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return prefixes.digests(_table(spark, sf, "documents"), "doc_id", "text", tokenizer)
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    return audit.audit(docs, "doc_id", "source", "text", labels, "doc_id", "quality", "toxic")
+
+
+@query
+def op13_merkle_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Tampering deletes the line feeds of every document whose id has an even checksum."""
+    docs = _table(spark, sf, "documents")
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    text = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest.proved(docs, "doc_id", "source", ["doc_id", "source", "lang", "n_chars", "text"], {"text": text})

@@ -112,6 +112,14 @@ def offsets(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
 
 
+def list_offsets(column: pa.Array) -> np.ndarray:
+    """Where each list starts among all values of a list column (one more entry at the end).  No nulls."""
+    if not len(column):
+        return np.zeros(1, np.int64)
+    at = column.offsets.to_numpy().astype(np.int64)
+    return at - at[0]
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all rows end to end, and where each row starts (one more entry at the end).  No nulls."""
     at = offsets(column)

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +38,10 @@ from pyspark.sql import types as T
 from . import common
 
 # Different runs whose ids a task keeps at a time.
-KEPT_RUNS = 600_000
-# Bytes of text that are encoded at once.
-STEP_BYTES = 8 << 20
+KEPT_RUNS = 400_000
+# Bytes of text that are encoded at once, and runs of them that are cut out at once.
+STEP_BYTES = 4 << 20
+STEP_RUNS = 100_000
 _NEVER = 1 << 30
 # Joins runs that are normalized together; a run that has it is normalized alone.
 _BETWEEN = "\x00"
@@ -225,12 +227,13 @@ class Encoder:
         self.split = library.pre_tokenizer.pre_tokenize_str
         # words of printable ASCII characters, and the spaces between runs
         self.ascii = regex.compile(f"{pattern}| ") if (pattern := _plain(d)) else None
-        self.vocabulary, self.encode = vocabulary, Words(vocabulary)
+        self.vocabulary = vocabulary
         names = sorted(vocabulary.special, key=len, reverse=True)
         self.special = re.compile(f"({'|'.join(map(re.escape, names))})") if names else re.compile("(?!)")
         self.forget()
 
     def forget(self) -> None:
+        self.encode = Words(self.vocabulary)
         self.runs: dict[bytes, int] = {}
         self.words: dict[str, int] = {}
         self.run_sizes, self.run_ids = array("q"), array("i")
@@ -296,7 +299,8 @@ class Encoder:
         starts, ends, row = common.spans(common.word_bytes()[data], at)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(at), np.int64)
-        column = common.packed(data, starts, ends).dictionary_encode()
+        runs = [common.packed(data, starts[i : i + STEP_RUNS], ends[i : i + STEP_RUNS]) for i in range(0, len(starts), STEP_RUNS)]
+        column = pa.chunked_array(runs).dictionary_encode().combine_chunks()
         raw, cuts = common.utf8(column.dictionary)
         raw, cuts = raw.tobytes(), cuts.tolist()
         distinct = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
@@ -359,26 +363,33 @@ def encoded(df: DataFrame, text: str, tokenizer: str) -> Column:
 
 def decoded(df: DataFrame, ids: str, tokenizer: str) -> Column:
     """The text of each list of ids, added tokens included; ids outside the vocabulary have none."""
-    sent = _sent(df, tokenizer)
+    with open(tokenizer, encoding="utf-8") as f:
+        name = Vocabulary(f.read()).name
+    sent = df.sparkSession.sparkContext.broadcast([name.get(i) for i in range(max(name) + 1)])
 
     @F.arrow_udf(T.StringType())
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        name = sent.value[1].name
-        for column in batches:
-            yield pa.array([" ".join([name[i] for i in x.values.to_pylist() if i in name]) if x.is_valid else "" for x in column], pa.string())
+    def run(column: pa.Array) -> pa.Array:
+        names = pa.array(sent.value, pa.string())
+        ids = column.flatten()
+        own = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names)))
+        words = names.take(pc.if_else(own, ids, pa.scalar(None, ids.type)))
+        lists = pa.ListArray.from_arrays(pa.array(common.list_offsets(column), pa.int32()), words)
+        if words.null_count:
+            return pa.array([" ".join(x for x in each if x is not None) for each in lists.to_pylist()], pa.string())
+        return pc.binary_join(lists, " ")
 
-    return run(df[f"`{ids}`"])
+    return run(F.coalesce(df[f"`{ids}`"], F.array().cast("array<int>")))
 
 
 def id_bytes(ids: str) -> Column:
     """A list of ids as little-endian unsigned 32-bit integers; null as none."""
 
     @F.arrow_udf(T.BinaryType())
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
-            yield pa.array([x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() if x.is_valid else b"" for x in column], pa.binary())
+    def run(column: pa.Array) -> pa.Array:
+        data = pa.py_buffer(column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes())
+        return pa.BinaryArray.from_buffers(pa.binary(), len(column), [None, pa.py_buffer((4 * common.list_offsets(column)).astype(np.int32)), data])
 
-    return run(ids)
+    return run(F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")))
 
 
 def digests(df: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFrame:

@@ -52,9 +52,11 @@ LEAST_DISTINCT = 65  # of 100 words
 MOST_CAPITALS = 5  # of 100 characters
 MARKS = "#$%&*|"
 
+# A shard's arrays are little-endian integers (``starts`` and ``entries`` of 32 bits, ``counts`` as wide as the largest
+# needs) or 32 bytes a document (``digests``), end to end.
 SHARDS = (
-    "shard long, ids array<long>, parts array<string>, digests array<binary>, fails array<int>, "
-    "starts array<int>, entries array<int>, counts array<int>, words array<string>"
+    "shard long, ids array<long>, parts array<string>, digests binary, fails binary, "
+    "starts binary, entries binary, counts binary, words array<string>"
 )
 ROWS = "doc_id long, part string, digest binary, fails int, n_words long, n_distinct long"
 
@@ -97,11 +99,13 @@ def _shard(number: int, ids: pa.ChunkedArray, parts: pa.ChunkedArray, texts: lis
     def listed(values: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
+    starts = np.searchsorted(row, np.arange(rows + 1))
+    width = np.min_scalar_type(max(counts, default=0))
+    packed = [b"".join(digests), np.concatenate(fails).astype("u1"), starts.astype("<i4"), entry.astype("<i4"), counts.astype(width)]
     columns = [
         pa.array([number], pa.int64()), listed(ids.combine_chunks()), listed(parts.combine_chunks()),
-        listed(pa.array(digests, pa.binary())), listed(pa.array(np.concatenate(fails), pa.int32())),
-        listed(pa.array(np.searchsorted(row, np.arange(rows + 1)), pa.int32())), listed(pa.array(entry, pa.int32())),
-        listed(pa.array(counts, pa.int32())), listed(own.cast(pa.large_string()).cast(pa.string())),
+        *(pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary()) for x in packed),
+        listed(own.cast(pa.large_string()).cast(pa.string())),
     ]
     return pa.RecordBatch.from_arrays(columns, [f.split(" ")[0] for f in SHARDS.split(", ")])
 
@@ -164,19 +168,28 @@ def matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
     return shards.drop("words").join(numbers, "shard", "left")
 
 
+def arrays(starts: bytes, entries: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's CSR: where each document's entries start (one more at the end), the entries' words, and their counts."""
+    entry = np.frombuffer(entries, "<i4")
+    width = len(counts) // max(len(entry), 1)
+    return np.frombuffer(starts, "<i4").astype(np.int64), entry, np.frombuffer(counts, f"<u{width or 1}")
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split(" ")[0] for f in ROWS.split(", ")]
     for batch in batches:
         for i in range(batch.num_rows):
-            ids, parts, digests, fails, starts, entries, counts, columns = (c[i].values for c in batch.columns)
-            starts, counts = starts.to_numpy().astype(np.int64), counts.to_numpy()
-            column = columns.to_numpy()[entries.to_numpy()] if columns is not None else np.zeros(0, np.int64)
+            ids, parts, digests, fails, *csr, columns = (c[i] for c in batch.columns)
+            starts, entry, counts = arrays(*(x.as_py() for x in csr))
+            column = columns.values.to_numpy()[entry] if columns.is_valid else np.zeros(0, np.int64)
             total = np.r_[0, np.cumsum(counts, dtype=np.int64)]
             n, distinct = np.diff(total[starts]), np.diff(starts)
             assert len(column) == starts[-1], "an entry without a column"
-            fails = fails.to_numpy() | np.where(n < LEAST_WORDS, BIT["A"], 0) | np.where(100 * distinct < LEAST_DISTINCT * n, BIT["B"], 0)
+            failed = np.frombuffer(fails.as_py(), "u1") | np.where(n < LEAST_WORDS, BIT["A"], 0) | np.where(100 * distinct < LEAST_DISTINCT * n, BIT["B"], 0)
+            digest = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(n), [None, digests.as_buffer()])
             yield pa.RecordBatch.from_arrays(
-                [ids, parts, digests, pa.array(fails, pa.int32()), pa.array(n, pa.int64()), pa.array(distinct, pa.int64())], names
+                [ids.values, parts.values, digest.cast(pa.binary()), pa.array(failed, pa.int32()), pa.array(n, pa.int64()), pa.array(distinct, pa.int64())],
+                names,
             )
 
 

@@ -162,9 +162,8 @@ def dictionary(shards: DataFrame) -> DataFrame:
 
 
 def matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """The shards with global numbers: ``words`` is replaced by ``columns``, those of the shard's own words."""
-    numbers = words.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("local", "id"))).alias("_ids"))
-    numbers = numbers.select("shard", F.col("_ids.id").alias("columns"))  # as many as the shard has words
+    """The shards with global numbers: ``words`` is replaced by ``numbers``, (local, id) of each of the shard's own words."""
+    numbers = words.groupBy("shard").agg(F.collect_list(F.struct("local", "id")).alias("numbers"))  # as many as its words
     return shards.drop("words").join(numbers, "shard", "left")
 
 
@@ -175,16 +174,26 @@ def arrays(starts: bytes, entries: bytes, counts: bytes) -> tuple[np.ndarray, np
     return np.frombuffer(starts, "<i4").astype(np.int64), entry, np.frombuffer(counts, f"<u{width or 1}")
 
 
+def global_numbers(numbers: pa.ListScalar) -> np.ndarray:
+    """The numbers of a shard's words, by their places there."""
+    if not numbers.is_valid:
+        return np.zeros(0, np.int64)
+    local, number = (numbers.values.field(k).to_numpy() for k in (0, 1))
+    out = np.full(len(local), -1, np.int64)
+    out[local] = number
+    return out
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split(" ")[0] for f in ROWS.split(", ")]
     for batch in batches:
         for i in range(batch.num_rows):
-            ids, parts, digests, fails, *csr, columns = (c[i] for c in batch.columns)
+            ids, parts, digests, fails, *csr, numbers = (c[i] for c in batch.columns)
             starts, entry, counts = arrays(*(x.as_py() for x in csr))
-            column = columns.values.to_numpy()[entry] if columns.is_valid else np.zeros(0, np.int64)
+            column = global_numbers(numbers)[entry]
             total = np.r_[0, np.cumsum(counts, dtype=np.int64)]
             n, distinct = np.diff(total[starts]), np.diff(starts)
-            assert len(column) == starts[-1], "an entry without a column"
+            assert len(column) == starts[-1] and (column >= 0).all(), "an entry without a number"
             failed = np.frombuffer(fails.as_py(), "u1") | np.where(n < LEAST_WORDS, BIT["A"], 0) | np.where(100 * distinct < LEAST_DISTINCT * n, BIT["B"], 0)
             digest = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(n), [None, digests.as_buffer()])
             yield pa.RecordBatch.from_arrays(
@@ -195,7 +204,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def failures(matrix: DataFrame) -> DataFrame:
     """A row for each document: its failures of A to D as a mask, and what A and B were decided by."""
-    columns = ("ids", "parts", "digests", "fails", "starts", "entries", "counts", "columns")
+    columns = ("ids", "parts", "digests", "fails", "starts", "entries", "counts", "numbers")
     return matrix.select(*columns).mapInArrow(_rows, ROWS)
 
 

@@ -23,6 +23,7 @@ table gives an empty result.  Columns besides the text are not read.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from array import array
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from . import common
 
 # Different runs whose ids a task keeps at a time.
-KEPT_RUNS = 400_000
+KEPT_RUNS = 300_000
 # Bytes of text that are encoded at once, and runs of them that are cut out at once.
 STEP_BYTES = 4 << 20
 STEP_RUNS = 100_000
@@ -361,42 +362,60 @@ def encoded(df: DataFrame, text: str, tokenizer: str) -> Column:
     return run(common.text_of(df, text))
 
 
+def _names(vocabulary: Vocabulary) -> list[str | None]:
+    """The tokens' strings by id."""
+    return [vocabulary.name.get(i) for i in range(vocabulary.size)]
+
+
+def spelled(names: pa.Array, lists: pa.ListArray) -> pa.Array:
+    """The text of each list of ids; ids without a name have none."""
+    ids = lists.flatten()
+    own = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names)))
+    words = names.take(pc.if_else(own, ids, pa.scalar(None, ids.type)))
+    words = pa.ListArray.from_arrays(pa.array(common.list_offsets(lists), pa.int32()), words)
+    if words.values.null_count:
+        return pa.array([" ".join(x for x in each if x is not None) for each in words.to_pylist()], pa.string())
+    return pc.binary_join(words, " ")
+
+
 def decoded(df: DataFrame, ids: str, tokenizer: str) -> Column:
     """The text of each list of ids, added tokens included; ids outside the vocabulary have none."""
     with open(tokenizer, encoding="utf-8") as f:
-        name = Vocabulary(f.read()).name
-    sent = df.sparkSession.sparkContext.broadcast([name.get(i) for i in range(max(name) + 1)])
+        sent = df.sparkSession.sparkContext.broadcast(_names(Vocabulary(f.read())))
 
     @F.arrow_udf(T.StringType())
     def run(column: pa.Array) -> pa.Array:
-        names = pa.array(sent.value, pa.string())
-        ids = column.flatten()
-        own = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(names)))
-        words = names.take(pc.if_else(own, ids, pa.scalar(None, ids.type)))
-        lists = pa.ListArray.from_arrays(pa.array(common.list_offsets(column), pa.int32()), words)
-        if words.null_count:
-            return pa.array([" ".join(x for x in each if x is not None) for each in lists.to_pylist()], pa.string())
-        return pc.binary_join(lists, " ")
+        return spelled(pa.array(sent.value, pa.string()), column)
 
     return run(F.coalesce(df[f"`{ids}`"], F.array().cast("array<int>")))
 
 
-def id_bytes(ids: str) -> Column:
-    """A list of ids as little-endian unsigned 32-bit integers; null as none."""
-
-    @F.arrow_udf(T.BinaryType())
-    def run(column: pa.Array) -> pa.Array:
-        data = pa.py_buffer(column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes())
-        return pa.BinaryArray.from_buffers(pa.binary(), len(column), [None, pa.py_buffer((4 * common.list_offsets(column)).astype(np.int32)), data])
-
-    return run(F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")))
+def digests(df: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFrame:
+    """doc_id, n_tokens, and digests of the ids (as little-endian unsigned 32-bit integers) and of the text decoded from them.
 
+    Ids and decoded text stay in the worker that makes them.
+    """
+    common.small_batches(df.sparkSession)
+    sent = _sent(df, tokenizer)
+    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-def digests(df: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, and digests of the ids' bytes and of the text decoded from them."""
-    rows = df.select(df[f"`{doc_id}`"].alias("doc_id"), encoded(df, text, tokenizer).alias("ids"))
-    rows = rows.select("doc_id", "ids", decoded(rows, "ids", tokenizer).alias("decoded"))
-    return rows.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(id_bytes("ids"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        common.one_thread()
+        encoder = Encoder(*sent.value)
+        names = pa.array(_names(encoder.vocabulary), pa.string())
+        for column in batches:
+            n, of_ids, of_texts = [np.zeros(0, np.int64)], [], []
+            for a, b in common.slices(column, STEP_BYTES):
+                ids, first = encoder(*common.utf8(column.slice(a, b - a)))
+                texts, at = common.utf8(spelled(names, pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids))))
+                n.append(np.diff(first))
+                for values, cut, out in ((ids.astype("<u4"), first, of_ids), (texts, at, of_texts)):
+                    out += [hashlib.sha256(values[i:j]).hexdigest() for i, j in zip(cut, cut[1:])]
+            yield pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(n)), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())],
+                [f.split(" ")[0] for f in kind.split(", ")],
+            )
+
+    rows = df.select(df[f"`{doc_id}`"].alias("doc_id"), run(common.text_of(df, text)).alias("_own"))
+    return rows.select("doc_id", "_own.*")

@@ -94,9 +94,10 @@ def test_matrix_gives_the_texts_words(docs, rows, spark, monkeypatch):
     assert sorted(named) == list(range(len(vocabulary))) and set(named.values()) == vocabulary
     got = []
     for r in audit.matrix(cut, words).collect():
+        number = {x.local: x.id for x in r.numbers or []}
         starts, entries, counts = (x.tolist() for x in audit.arrays(r.starts, r.entries, r.counts))
         for i, a, b in zip(r.ids, starts, starts[1:]):
-            got.append((i, tuple(sorted((named[r.columns[e]], n) for e, n in zip(entries[a:b], counts[a:b])))))
+            got.append((i, tuple(sorted((named[number[e]], n) for e, n in zip(entries[a:b], counts[a:b])))))
     want = [(r[0], tuple(sorted(Counter(WORD.findall(r[1] or "")).items()))) for r in rows]
     assert Counter(got) == Counter(want)
 

@@ -113,10 +113,20 @@ def test_documents(docs, rows):
     assert got == Counter(expected([r[:2] for r in rows]))
 
 
-def test_null_and_empty_ids(spark):
-    df = spark.createDataFrame([(None,), ([],), ([49407, 320],)], "ids array<int>")
-    got = df.select(prefixes.decoded(df, "ids", PATH).alias("t"), F.hex(prefixes.id_bytes("ids")).alias("b")).collect()
-    assert [tuple(r) for r in got] == [("", ""), ("", ""), ("<|endoftext|> a</w>", "FFC0000040010000")]
+def test_texts_to_ids_and_back(docs, rows):
+    library = Tokenizer.from_file(PATH)
+    df = docs.select("doc_id", "text", prefixes.encoded(docs, "text", PATH).alias("own"))
+    got = df.select("text", "own", prefixes.decoded(df, "own", PATH).alias("said")).collect()
+    want = [library.encode(r[1] or "", add_special_tokens=False).ids for r in rows]
+    assert Counter((r.text, tuple(r.own), r.said) for r in got) == Counter(
+        (r[1], tuple(ids), library.decode(ids, skip_special_tokens=False)) for r, ids in zip(rows, want)
+    )
+
+
+def test_null_empty_and_foreign_ids(spark):
+    df = spark.createDataFrame([(None,), ([],), ([49407, 320],), ([-1, 320, 10**9],)], "ids array<int>")
+    got = df.select(prefixes.decoded(df, "ids", PATH).alias("t")).collect()
+    assert [r.t for r in got] == ["", "", "<|endoftext|> a</w>", "a</w>"]
 
 
 def test_empty_table(no_docs):

@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import cells, wkt
 from ..session import stored
-from .cells import children, neighbors
+from . import sweep
+from .cells import neighbors
 from .coverings import covering
-from .skew import join_large
-
-
-# Fence cells are brought to every third level, so a point has 11 ancestors to look up at most.
-_STEP = 3
 
 
 def levels_of(df: DataFrame, cell: str) -> list[int]:
@@ -36,11 +32,12 @@ def points_in_cells(
 ) -> DataFrame:
     """Points with every row of ``table`` whose cell holds them (one row per pair).
 
-    ``table`` is read twice (levels, join): store it first if it is costly.
+    A point moves once to find its cells (``sweep``), and then to their rows.  ``table`` is read twice: store it first if
+    it is costly.
     """
-    leaf = cells.s2_cell_id.add(points, "_leaf", lat, lon, 30).where("_leaf IS NOT NULL")
-    keyed = _ancestors(leaf, "_leaf", levels_of(table, cell), cell).drop("_leaf")
-    return join_large(keyed, table, [cell])
+    leaf, some = (cells.s2_cell_id.add(p, "_leaf", lat, lon, 30) for p in (points, points.sample(sweep.SAMPLED, seed=1)))
+    keyed = sweep.holding_cells(leaf, "_leaf", some.select("_leaf"), table, cell, cell)
+    return keyed.join(table, [cell])
 
 
 def points_in_fences(
@@ -59,11 +56,7 @@ def points_in_fences(
     """
     covered = covering(fences.select(fence, text), text, min_level, max_level)
     boxed = covered.withColumn("_box", F.expr(wkt.bounds(f"`{text}`"))).select(fence, "cell_id", "_box.*")
-    # few levels: cells between them become their 4 or 16 descendants, which cover the same
-    own = cells.level_of("cell_id")
-    boxed = boxed.selectExpr("*", f"least(30, ({own} + {_STEP - 1}) DIV {_STEP} * {_STEP}) AS _goal")
-    boxed = children(boxed, "cell_id", "_goal", "_cell", _STEP).drop("cell_id", "_goal").withColumnRenamed("_cell", "cell_id")
-    # looked at twice below: levels, join
+    # looked at twice below: sweep, join
     boxed = stored(boxed)
     pairs = points_in_cells(points, boxed, lat, lon)
     inside = f"`{lat}` BETWEEN lat_lo AND lat_hi AND `{lon}` BETWEEN lon_lo AND lon_hi"
@@ -79,9 +72,9 @@ def neighbor_join(
     """
     around = neighbors(left, cell, right_cell)
     if how == "left_semi":
-        found = join_large(around, right.select(right_cell).distinct(), [right_cell], how)
+        found = around.join(right.select(right_cell).distinct(), [right_cell], how)
         return found.drop(right_cell).distinct()
-    return join_large(around, right, [right_cell], how)
+    return around.join(right, [right_cell], how)
 
 
 def union_overlap_join(
@@ -105,7 +98,7 @@ def union_overlap_join(
 
     lefts = listed(left, left_key, levels_of(right, cell), f"_level <= {own}", 1)
     rights = listed(right, right_key, levels_of(left, cell), f"_level < {own}", 0)
-    return join_large(lefts, rights, [cell, "_kind"]).select(left_key, right_key).distinct()
+    return lefts.join(rights, [cell, "_kind"]).select(left_key, right_key).distinct()
 
 
 def cell_density(points: DataFrame, lat: str, lon: str, levels: int | list[int]) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from ..sources.geotiff import SINGULAR, with_values
-from .skew import join_large
 
 # --- fixed values: results for a missing or unreadable file, and for bad transforms ---
 MISSING = {
@@ -53,7 +52,7 @@ def rs_metadata(meta: DataFrame) -> DataFrame:
 
 def _with_meta(requests: DataFrame, meta: DataFrame, fields: dict[str, str]) -> DataFrame:
     side = meta.selectExpr("path", *(f"{text} AS {name}" for name, text in fields.items()))
-    return join_large(requests, side, ["path"], "left")
+    return requests.join(side, ["path"], "left")
 
 
 def add_metadata(requests: DataFrame, meta: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -68,7 +67,7 @@ def add_band_statistics(requests: DataFrame, partials: DataFrame, names: list[st
     """Requests with ``rs_min``, ``rs_max``, ``rs_mean``, ``rs_stddev`` of band 1."""
     names = names or list(STATS)
     stats = rs_stats(partials.where("band = 1")).selectExpr("path", *(f"{STATS[n]} AS {n}" for n in names), "true AS _hit")
-    joined = join_large(requests, stats, ["path"], "left")
+    joined = requests.join(stats, ["path"], "left")
     values = [f"if(_hit, {n}, {MISSING[n]}) AS {n}" for n in names]
     return joined.selectExpr(*(f"`{c}`" for c in requests.columns), *values)
 
@@ -203,7 +202,7 @@ def rs_histogram(pixels: DataFrame, bins: int, bounds: DataFrame | None = None)
         low, high = _finite_bounds()
         bounds = pixels.groupBy("path", "band").agg(low.alias("min"), high.alias("max"))
     bounds = stored(bounds.selectExpr("path", "band", "min AS _lo", f"(max - min) / {bins}D AS _w"))
-    placed = join_large(pixels.select("path", "band", "value"), bounds, ["path", "band"])
+    placed = pixels.select("path", "band", "value").join(bounds, ["path", "band"])
     placed = placed.withColumnRenamed("_lo", "lo")
     bin_ = BIN.format(w="_w")
     counted = placed.selectExpr("path", "band", f"CAST({bin_} AS INT) AS bin").where(f"bin < {bins}")

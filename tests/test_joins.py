@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlark.functions import s2_cell_id
+from gridlark.operators import sweep
 from gridlark.operators.cells import neighbors
 from gridlark.operators.joins import (
     cell_density,
@@ -12,7 +13,6 @@ from gridlark.operators.joins import (
     points_in_fences,
     union_overlap_join,
 )
-from gridlark.operators.skew import join_large
 
 # broadcast, and the shuffled join with split partitions
 WAYS = [
@@ -78,14 +78,67 @@ def test_points_in_fences(spark, points, way):
     assert sorted((r.id, r.fence) for r in got.collect()) == sorted(want)
 
 
-@pytest.mark.parametrize("way", WAYS)
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_join_large(spark, way, how):
-    left = spark.range(300).selectExpr("id", "if(id % 3 = 0, 0, id % 20) AS k")
-    right = spark.range(12).selectExpr("id % 6 * 3 AS k", "id AS v")
-    a = join_large(left, right, ["k"], how)
-    b = left.join(right, ["k"], how)
-    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+def nested(seed, n):
+    """Cells of all levels around few places, so that they nest deeply; some twice."""
+    rng = random.Random(seed)
+    leaves = [rng.getrandbits(60) | 1 | rng.randrange(6) << 61 for _ in range(8)]
+    out = []
+    for _ in range(n):
+        bit = 1 << (2 * rng.randrange(31))
+        near = rng.choice(leaves) ^ (rng.getrandbits(60) >> rng.randrange(60) << 1)
+        out.append((near & -bit & (1 << 64) - 1) | bit)
+    return [c - (1 << 64) if c >> 63 else c for c in out if c >> 61 < 6]
+
+
+@pytest.mark.parametrize(("ranges", "batch"), [(1, 10_000), (7, 10_000), (40, 3)])
+def test_sweep_against_all_pairs(spark, ranges, batch):
+    """Also over batches of a few rows, with a place that fills several ranges, and ids that are no cells."""
+    rng = random.Random(ranges)
+    cells = nested(3, 400) + [0, 2, -1, -(1 << 63), (7 << 61 | 1) - (1 << 64)]
+    ends = [x for c in cells[:200] for x in span(c)]
+    leaves = [max(rng.choice(ends) + rng.choice([0, 0, 2, -2]), -(1 << 63)) for _ in range(500)] + [ends[7]] * 300 + [None, None]
+    points = spark.createDataFrame([(k, leaf, "x", leaf) for k, leaf in enumerate(leaves)], "id int, leaf long, cell string, _row long")
+    table = spark.createDataFrame([(c,) for c in [*cells, *cells[:50], None]], "cell long").repartition(3)
+    set_ = {"spark.sql.shuffle.partitions": ranges, "spark.sql.execution.arrow.maxRecordsPerBatch": batch}
+    before = {k: spark.conf.get(k) for k in set_}
+    for k, v in set_.items():
+        spark.conf.set(k, str(v))
+    try:
+        got = sweep.holding_cells(points.repartition(4), "leaf", points, table, "cell", "cell").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    good = {c for c in cells if c and (c & -c) & 0x5555555555555555 and (c >> 61) % 8 < 6}
+    want = sorted((k, c) for k, leaf in enumerate(leaves) if leaf is not None for c in good if span(c)[0] <= leaf <= span(c)[1])
+    assert sorted((r.id, r.cell) for r in got) == want and len(want) > 1000
+    assert all(r._row == leaves[r.id] for r in got)
+
+
+def test_a_frequent_place_is_spread(spark):
+    """A place that fills several ranges is a bound several times, and its rows go to all of them."""
+    points = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 1001L, id * 64 + 1) AS leaf")
+    bounds = sweep.bounds_of(points, "leaf", 10)
+    assert len(bounds) == 9 and bounds.count(1001) >= 3
+    assert sweep.bounds_of(points.where("false"), "leaf", 10) == [] == sweep.bounds_of(points, "leaf", 1)
+
+
+def test_points_move_once_to_find_their_cells(spark, points):
+    """No row of a point is copied before the sweep, whatever the levels."""
+    table = spark.createDataFrame([(k, c) for k, c in enumerate(nested(5, 60))], "owner int, cell_id long")
+    plan = points_in_cells(points, table, "lat", "lon")._jdf.queryExecution().optimizedPlan().toString()
+    joined, side = plan.split("MapInArrow")
+    assert "Generate" not in joined and "Join Inner" in joined
+    own = side.split("Union")[1].split("_cell")[0]
+    assert "array(0, 3" not in side and "posexplode" not in own
+
+
+@pytest.mark.parametrize("left", [True, False])
+def test_empty_sides(spark, points, left):
+    table = spark.createDataFrame([(1, 1 << 60)], "owner int, cell_id long")
+    if left:
+        assert points_in_cells(points.where("false"), table, "lat", "lon").count() == 0
+    else:
+        assert points_in_cells(points, table.where("false"), "lat", "lon").count() == 0
 
 
 @pytest.mark.parametrize("way", WAYS)

@@ -55,6 +55,7 @@ s2_cell_union_contains = Formula(
     [{"ids": unpacked("{blob}")}],
 )
 
+# Expression form, all pairs of cells: for large unions use operators.unions.add_union_intersects.
 s2_cell_union_intersects = Formula(
     "s2_cell_union_intersects",
     {"blob1": "binary", "blob2": "binary"},

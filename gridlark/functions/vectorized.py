@@ -140,9 +140,8 @@ def _areas(cell: np.ndarray) -> np.ndarray:
     return area * (fixed.EARTH_RADIUS_M * fixed.EARTH_RADIUS_M)
 
 
-@F.arrow_udf(T.DoubleType())
-def s2_cell_union_area(blob: pa.Array) -> pa.Array:
-    """The areas of each blob's cells added up, copies each time; ids that are no cells count nothing."""
+def _cells_of(blob: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each cell of a column of union blobs, and the cell."""
     whole = blob.fill_null(b"").cast(pa.large_binary())
     at = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
     data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)
@@ -150,9 +149,14 @@ def s2_cell_union_area(blob: pa.Array) -> pa.Array:
     some = np.flatnonzero(size >= 12)
     head = data[at[some][:, None] + np.arange(4)].view("<u4")[:, 0].astype(np.int64)
     count = np.minimum(head, (size[some] - 4) // 8)
-    owner = np.repeat(some, count)
     place = np.repeat(at[some] + 4, count) + 8 * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-    cell = data[place[:, None] + np.arange(8)].view("<i8")[:, 0].astype(np.int64)
+    return np.repeat(some, count), data[place[:, None] + np.arange(8)].view("<i8")[:, 0].astype(np.int64)
+
+
+@F.arrow_udf(T.DoubleType())
+def s2_cell_union_area(blob: pa.Array) -> pa.Array:
+    """The areas of each blob's cells added up, copies each time; ids that are no cells count nothing."""
+    owner, cell = _cells_of(blob)
     bits = cell.view(np.uint64)
     lsb = bits & (~bits + np.uint64(1))
     valid = (lsb > 0) & (np.bitwise_count(lsb - np.uint64(1)) % 2 == 0) & (lsb <= np.uint64(1 << 60)) & (bits >> np.uint64(61) < 6)
@@ -160,6 +164,39 @@ def s2_cell_union_area(blob: pa.Array) -> pa.Array:
     return pa.array(np.bincount(owner, area, len(blob)), mask=~_known(blob))
 
 
+def _ranges_of(blob: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last leaf of each cell of a column of union blobs."""
+    owner, cell = _cells_of(blob)
+    owner, cell = owner[cell != 0], cell[cell != 0]
+    reach = np.where(cell == np.iinfo(np.int64).min, 1, cell & -cell) - 1
+    return owner, cell - reach, cell + reach
+
+
+@F.arrow_udf(T.BooleanType())
+def s2_cell_union_intersects(blob1: pa.Array, blob2: pa.Array) -> pa.Array:
+    """Whether any cells of two blobs overlap: one sweep over the starts of one side and the ends of the other.
+
+    An end of the right side overlaps if the ranges of its row that start at or before it reach as far as its own start.
+    """
+    owner, lo, hi = _ranges_of(blob1)
+    order = np.lexsort((lo, owner))
+    owner, lo, hi = owner[order], lo[order], hi[order]
+    by_end = np.lexsort((hi, owner))
+    rank = np.empty(len(hi), np.int64)
+    rank[by_end] = np.arange(len(hi))
+    reach = hi[by_end[np.maximum.accumulate(rank)]] if len(hi) else hi  # ranks of later rows are greater
+    other, start, end = _ranges_of(blob2)
+    right = np.r_[np.zeros(len(lo), bool), np.ones(len(end), bool)]
+    order = np.lexsort((right, np.r_[lo, end], np.r_[owner, other]))
+    before = np.cumsum(~right[order]) - 1  # the last left range so far
+    at = np.flatnonzero(right[order])
+    asked, last = order[at] - len(lo), before[at]
+    asked, last = asked[last >= 0], last[last >= 0]
+    met = np.zeros(len(blob1), bool)
+    met[other[asked[(owner[last] == other[asked]) & (reach[last] >= start[asked])]]] = True
+    return pa.array(met, mask=~_known(blob1, blob2))
+
+
 @F.arrow_udf(T.StringType())
 def s2_to_geo(cell: pa.Array) -> pa.Array:
     return pa.array(_points(*_center(_numbers(cell.fill_null(1), np.int64))), pa.string(), mask=~_known(cell))
@@ -174,5 +211,5 @@ def s2_cell_vertex(cell: pa.Array, k: pa.Array) -> pa.Array:
     return pa.array(texts, pa.string(), mask=~_known(cell, k))
 
 
-_ALL = (s2_cell_id, s2_contains, s2_distance_meters, s2_area_m2, s2_to_geo, s2_cell_vertex, s2_cell_union_area)
+_ALL = (s2_cell_id, s2_contains, s2_distance_meters, s2_area_m2, s2_to_geo, s2_cell_vertex, s2_cell_union_area, s2_cell_union_intersects)
 BY_NAME = {f.func.__name__: f for f in _ALL}

@@ -49,15 +49,17 @@ def shape(wkt: str) -> str:
     return text
 
 
-# Collections may hold collections, so deep.
+# Collections may hold collections, so deep at most; a deeper one is an error.
 _NESTED = 8
+_COLLECTION = "GEOMETRYCOLLECTION(?:ZM|Z|M)?\\\\(G(?:,G)*\\\\)"
 
 
 def is_geometry(wkt: str) -> str:
     text = shape(wkt)
     for _ in range(_NESTED):
-        text = f"regexp_replace({text}, 'GEOMETRYCOLLECTION(?:ZM|Z|M)?\\\\(G(?:,G)*\\\\)', 'G')"
-    return f"{text} RLIKE '^(O|G)$'"
+        text = f"regexp_replace({text}, '{_COLLECTION}', 'G')"
+    deeper = f"raise_error('geometry collections are nested more than {_NESTED} deep')"
+    return f"exists(array(coalesce({text}, '')), t -> t RLIKE '^(O|G)$' OR t RLIKE '{_COLLECTION}' AND CAST({deeper} AS BOOLEAN))"
 
 
 def bounds(wkt: str) -> str:

@@ -53,6 +53,11 @@ def add_union_area(df: DataFrame, blob: str, out: str = "area_m2") -> DataFrame:
     return df.withColumn(out, vectorized.s2_cell_union_area(F.col(blob)))
 
 
+def add_union_intersects(df: DataFrame, blob1: str, blob2: str, out: str = "intersects") -> DataFrame:
+    """``df`` with whether the unions of each row overlap, by a sweep over their sorted ranges; null for a null blob."""
+    return df.withColumn(out, vectorized.s2_cell_union_intersects(F.col(blob1), F.col(blob2)))
+
+
 def cell_union_area(df: DataFrame, by: list[str], blob: str, out: str = "area_m2") -> DataFrame:
     """Area of unions per key: the areas of its rows added up.  Numbers alone are shuffled."""
     return add_union_area(df.select(*by, blob), blob, "_a").groupBy(*by).agg(F.sum("_a").alias(out))

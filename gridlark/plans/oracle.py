@@ -438,6 +438,43 @@ def fixed(x: str, digits: int) -> str:
     return f"printf('%.{digits}f', {x})"
 
 
+def _dense() -> Ctes:
+    """Cells per event type, of levels 1 to 4, each once."""
+    made = "SELECT DISTINCT event_type, cell FROM tagged JOIN events ON id = event_id"
+    return [*cells("1 + id % 4"), ("dense", made)]
+
+
+def _inside(a: str, b: str) -> str:
+    return f"{a}.cell <> {b}.cell AND {a}.cell BETWEEN {low(b + '.cell')} AND {high(b + '.cell')}"
+
+
+def _segments() -> Ctes:
+    """Wide cells by face, others by their ancestor at level 3, without those inside another of their segment."""
+    segment = f"if({level_of('cell')} < 3, {up('cell', '0')}, {up('cell', '3')})"
+    return [
+        *_dense(), ("keyed", f"SELECT *, {segment} AS segment, {level_of('cell')} < 3 AS wide FROM dense"),
+        ("outer_", "SELECT * FROM keyed a WHERE NOT EXISTS (SELECT 1 FROM keyed b WHERE a.event_type = b.event_type "
+         f"AND a.segment = b.segment AND a.wide = b.wide AND {_inside('a', 'b')})"),
+    ]
+
+
+def _normal() -> str:
+    """From the finest level up: four siblings go on as their parent, others stay."""
+    ctes = [
+        *_dense(),
+        ("apart", f"SELECT * FROM dense a WHERE NOT EXISTS (SELECT 1 FROM dense b WHERE a.event_type = b.event_type AND {_inside('a', 'b')})"),
+        ("up4", f"SELECT event_type, cell FROM apart WHERE {level_of('cell')} = 4"),
+    ]
+    for k in (4, 3, 2, 1):
+        parent = up("cell", str(k - 1))
+        ctes += [
+            (f"n{k}", f"SELECT *, {parent} AS parent, count(*) OVER (PARTITION BY event_type, {parent}) AS c FROM up{k}"),
+            (f"up{k - 1}", f"SELECT DISTINCT event_type, parent AS cell FROM n{k} WHERE c = 4 "
+             f"UNION ALL SELECT event_type, cell FROM apart WHERE {level_of('cell')} = {k - 1}"),
+        ]
+    return sql(ctes, " UNION ALL ".join(f"SELECT event_type, cell FROM n{k} WHERE c < 4" for k in (4, 3, 2, 1)) + " UNION ALL SELECT event_type, cell FROM up0")
+
+
 ORACLE: dict[str, str] = {
     "s2_cell_id": sql(cells(), "SELECT id, level, cell FROM tagged"),
     "s2_parent": sql(cells(), "SELECT id, cell AS parent FROM tagged"),
@@ -574,6 +611,17 @@ ORACLE: dict[str, str] = {
         "SELECT id, cell FROM q WHERE id % 3 < 2 UNION ALL "
         "SELECT id, cell + unnest([-3, -1, 1]) * s AS cell FROM q WHERE id % 3 = 2",
     ),
+    "cell_union_segments": sql(
+        _segments(),
+        "SELECT event_type, wide, segment, min(cell) AS first, max(cell) AS last, count(*) AS n, "
+        "md5(string_agg(CAST(cell AS VARCHAR), ',' ORDER BY cell)) AS digest FROM outer_ GROUP BY 1, 2, 3",
+    ),
+    "cell_union_segments_contain": sql(
+        [*_dense(), ("asked", f"SELECT id, event_type, {up('aleaf', 'id % 7')} AS cell FROM a_leaf JOIN events ON id = event_id")],
+        "SELECT id, EXISTS (SELECT 1 FROM dense WHERE dense.event_type = asked.event_type "
+        f"AND asked.cell BETWEEN {low('dense.cell')} AND {high('dense.cell')}) AS held FROM asked",
+    ),
+    "s2_cell_union_normalize": _normal(),
     "s2_point_in_cells_join": sql(
         [
             *POINTS,

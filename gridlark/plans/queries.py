@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cells, unions, wkt
-from ..operators import coverings, joins, rasters
+from ..operators import coverings, joins, rasters, segments
 from ..operators import unions as union_ops
 from ..operators.cells import children, neighbors
 from ..sources.geotiff import read_geotiff
@@ -205,7 +205,7 @@ def s2_cell_union_intersects(spark: SparkSession, sf: str) -> DataFrame:
     probe = cells.s2_parent.add(blob, "up", "cell", "id % 9")
     probe = probe.withColumn("up", F.expr("if(id % 2 = 0, up, up ^ shiftleft(1L, 61))"))
     probe = unions.s2_cell_union_of.add(probe, "others", "array(up)")
-    return unions.s2_cell_union_intersects.add(probe, "met", "cells", "others").select("id", "met")
+    return union_ops.add_union_intersects(probe, "cells", "others", "met").select("id", "met")
 
 
 @query
@@ -250,6 +250,34 @@ def cell_union_normalize(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("id", F.explode(union_ops.cell_union_normalize("ids")).alias("cell"))
 
 
+def _dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of few levels per event type, so that many nest, repeat, and make up their parents."""
+    points = derived.points(spark, sf, "event_type").selectExpr("*", "CAST(1 + id % 4 AS INT) AS level")
+    return cells.s2_cell_id.add(points, "cell", "lat", "lon", "level").select("event_type", "cell")
+
+
+@query
+def cell_union_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """The unions of the event types in segments below level 3: directory and checksum of the ids."""
+    rows = segments.cell_union_segments(_dense(spark, sf), ["event_type"], "cell", 3)
+    return rows.selectExpr("event_type", "wide", "segment", "first", "last", "n", "md5(array_join(CAST(ids AS ARRAY<STRING>), ',')) AS digest")
+
+
+@query
+def cell_union_segments_contain(spark: SparkSession, sf: str) -> DataFrame:
+    """For each event's cell at another level, whether the union of its type holds it."""
+    points = derived.points(spark, sf, "event_type").selectExpr("*", "CAST(id % 7 AS INT) AS level")
+    asked = cells.s2_cell_id.add(points, "cell", "lat", "lon", "level").select("id", "event_type", "cell")
+    parts = segments.cell_union_segments(_dense(spark, sf), ["event_type"], "cell", 3)
+    return segments.segments_contain(parts, asked, ["event_type"], "cell", "held", 3).select("id", "held")
+
+
+@query
+def s2_cell_union_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    """The unions of the event types in normal form, as rows."""
+    return segments.normalized(_dense(spark, sf), ["event_type"], "cell", 3)
+
+
 # -- joins -----------------------------------------------------------------------------
 @query
 def s2_point_in_cells_join(spark: SparkSession, sf: str) -> DataFrame:

@@ -245,7 +245,8 @@ def read_geotiff(spark: SparkSession, path: str | list[str], mode: str = "tiles"
     return reader.options(**{k: str(v) for k, v in options.items()}).load()
 
 
-_MISSING = (OSError, ValueError)
+# What gives no value: an absent file, and one that is no raster.  Other errors of a store fail the task, which Spark repeats.
+_MISSING = (FileNotFoundError, ValueError)
 
 
 def with_values(

@@ -127,6 +127,18 @@ def test_nested_collections(spark):
     assert got == [(2, 9, 1, 9), None, None]
 
 
+def test_too_deep_collections_are_an_error(spark):
+    """Text beyond the nesting that is read must not pass for text that is no geometry."""
+    deep = {k: "GEOMETRYCOLLECTION(" * k + "POINT(1 2)" + ")" * k for k in (8, 9, 12)}
+    for k, w in deep.items():
+        df = spark.createDataFrame([(w,), ("nonsense",)], "wkt string").selectExpr(f"{wkt.bounds('wkt')} AS b")
+        if k == 8:
+            assert [r.b and tuple(r.b) for r in df.collect()] == [(2, 2, 1, 1), None]
+        else:
+            with pytest.raises(Exception, match="nested more than 8 deep"):
+                df.collect()
+
+
 def test_searches_hold_a_bounded_number_of_cells():
     """A batch of boxes that are bound to many cells is cut; memory doesn't follow the batch."""
     rng = random.Random(1)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import time
 from collections import Counter
 
 import pytest
@@ -16,7 +17,7 @@ from gridlark.functions import (
     s2_cell_union_unpack,
 )
 from gridlark.operators.cells import children
-from gridlark.operators import unions
+from gridlark.operators import segments, unions
 from gridlark.operators.unions import (
     cell_union_agg,
     cell_union_area,
@@ -142,3 +143,101 @@ def test_normalize(spark):
     assert got == [[3886694439350960128], sorted(kids[:3]), [3886694439350960128], [], None]
     levels = spark.createDataFrame([(c,) for c in kids[:2]], "c long").select(s2_cell_level("c")).collect()
     assert [r[0] for r in levels] == [10, 10]
+
+
+def span(c):
+    bit = (c & -c) - 1
+    return c - bit, c + bit
+
+
+def groups_of_cells(seed):
+    """Nested, repeated and mergeable cells in two groups, one of them null; ids that are none."""
+    rng, rows = random.Random(seed), []
+    for g in ("a", None):
+        for _ in range(40):
+            level = rng.randrange(0, 9)
+            bit = 1 << (2 * (30 - level))
+            cell = (rng.randrange(3) << 61 | rng.getrandbits(8) << 53) & -bit | bit
+            rows.append((g, cell))
+            if level < 8 and rng.random() < 0.6:  # its children, perhaps theirs too
+                kids = [cell + k * bit // 4 for k in (-3, -1, 1, 3)]
+                rows += [(g, k) for k in kids] + [(g, kids[0] + k * bit // 16) for k in (-3, -1, 1, 3)]
+        rows += [(g, None), (g, 0), (g, 2), (g, -(1 << 63))]
+    return rows + rows[:30]
+
+
+def plain_normal(cells):
+    cells = {c for c in cells if c and c != -(1 << 63) and (c & -c) & 0x5555555555555555}
+    cells = {c for c in cells if not any(c != d and span(d)[0] <= c <= span(d)[1] for d in cells)}
+    merged = True
+    while merged:
+        merged = False
+        for c in sorted(cells, key=lambda c: c & -c):
+            bit = (c & -c) << 2
+            kids = {((c & -bit) | bit) + k * bit // 4 for k in (-3, -1, 1, 3)}
+            if bit <= 1 << 60 and kids <= cells:
+                cells = cells - kids | {(c & -bit) | bit}
+                merged = True
+                break
+    return cells
+
+
+@pytest.mark.parametrize("level", [0, 3, 12])
+def test_normal_form_as_rows(spark, level):
+    rows = groups_of_cells(level)
+    df = spark.createDataFrame(rows, "g string, c long").repartition(3)
+    got = segments.normalized(df, ["g"], "c", level).collect()
+    want = [(g, c) for g in ("a", None) for c in plain_normal([x for h, x in rows if h == g])]
+    assert Counter((r.g, r.c) for r in got) == Counter(want)
+    assert len(want) < len({c for _, c in rows})
+
+
+def test_normal_form_of_whole_faces_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, (1 << 60) + k * (1 << 58)) for k in (-3, -1, 1, 3)], "g int, c long")
+    assert [tuple(r) for r in segments.normalized(df, ["g"], "c").collect()] == [(1, 1 << 60)]
+    assert segments.normalized(df.where("false"), ["g"], "c").count() == 0
+
+
+@pytest.mark.parametrize("level", [0, 4])
+def test_segments_answer_as_the_cells_do(spark, level):
+    rows = groups_of_cells(7)
+    df = spark.createDataFrame(rows, "g string, c long")
+    parts = segments.cell_union_segments(df, ["g"], "c", level).cache()
+    for r in parts.collect():
+        assert r.ids == sorted(r.ids) and (r.first, r.last, r.n) == (r.ids[0], r.ids[-1], len(r.ids))
+        assert all(span(a)[1] < span(b)[0] for a, b in zip(r.ids, r.ids[1:]))
+    rng = random.Random(1)
+    real = [c for _, c in rows if c and c > 2]
+    asked = [(k, rng.choice(["a", None, "z"]), rng.choice(real) + rng.choice([0, 0, 2, -2, 1 << 40])) for k in range(300)] + [(300, "a", None)]
+    got = segments.segments_contain(parts, spark.createDataFrame(asked, "id int, g string, c long"), ["g"], "c", "held", level).collect()
+    cells = {g: [c for h, c in rows if h == g and c and c > 2] for g in ("a", None)}
+    want = {k: None if c is None else any(span(d)[0] <= c <= span(d)[1] for d in cells.get(g, [])) for k, g, c in asked}
+    assert {r.id: r.held for r in got} == want and {True, False, None} <= set(want.values())
+
+
+def test_large_unions_meet_in_a_sweep(spark):
+    """Two unions of 100 000 cells that alternate, and the same with one cell in common; nulls, empty and odd blobs."""
+    even, odd = ([(1 << 60) | (k << 20) | (1 << 18) for k in range(a, 200_000, 2)] for a in (0, 1))
+    cases = [(blob(even), blob(odd)), (blob(even), blob([*odd[:-1], even[77] + 2])), (blob(even), None), (blob([]), blob(even)),
+             (blob([0, 1 << 60]), blob([0])), (blob([1 << 60]), blob([even[5]])), (blob([even[5]]), blob([1 << 60]))]
+    df = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, a binary, b binary").coalesce(1).cache()
+    df.count()
+    unions.add_union_intersects(df.where("k < 0"), "a", "b", "met").collect()
+    start = time.perf_counter()
+    got = {r.k: r.met for r in unions.add_union_intersects(df, "a", "b", "met").collect()}
+    assert got == {0: False, 1: True, 2: None, 3: False, 4: False, 5: True, 6: True}
+    assert time.perf_counter() - start < 10
+
+
+def test_sweep_agrees_with_all_pairs_of_cells(spark):
+    rng, rows = random.Random(4), []
+    for k in range(300):
+        sides = []
+        for _ in range(2):
+            bits = [1 << (2 * rng.randrange(20, 31)) for _ in range(rng.randrange(4))]
+            sides.append([(rng.choice([1, 2, 5]) << 61 | rng.getrandbits(12) << 49) & -b & (1 << 64) - 1 | b for b in bits])
+        rows.append((k, *([c - (1 << 64) if c >> 63 else c for c in side] for side in sides)))
+    df = spark.createDataFrame([(k, blob(a), blob(b)) for k, a, b in rows], "k int, a binary, b binary").repartition(2)
+    got = {r.k: r.met for r in unions.add_union_intersects(df, "a", "b", "met").collect()}
+    want = {k: any(span(x)[0] <= span(y)[1] and span(y)[0] <= span(x)[1] for x in a for y in b) for k, a, b in rows}
+    assert got == want and 20 < sum(want.values()) < 280

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from ..sources.geotiff import SINGULAR, with_values
+from ..sources.geotiff import SINGULAR, SLICE_BYTES, scan_histograms, with_values
 
 # --- fixed values: results for a missing or unreadable file, and for bad transforms ---
 MISSING = {
@@ -207,6 +207,24 @@ def rs_histogram(pixels: DataFrame, bins: int, bounds: DataFrame | None = None)
     bin_ = BIN.format(w="_w")
     counted = placed.selectExpr("path", "band", f"CAST({bin_} AS INT) AS bin").where(f"bin < {bins}")
     counted = counted.groupBy("path", "band", "bin").agg(F.count("*").alias("count"))
+    return _bins(bounds, bins, counted)
+
+
+def _bins(bounds: DataFrame, bins: int, counted: DataFrame) -> DataFrame:
+    """Every bin of every (path, band) with its center and count."""
     every = bounds.selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
     found = every.join(counted, ["path", "band", "bin"], "left")
     return found.selectExpr("path", "band", "bin", "_lo + (bin + 0.5D) * _w AS value", "coalesce(count, 0L) AS count")
+
+
+def block_histogram(bounds: DataFrame, bins: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``rs_histogram`` of the files that ``bounds`` (``path, band, min, max``, as of ``rs_stats``) names.
+
+    The bounds are sent to the files' slices, and each slice gives its counts per bin, which add up: no sample becomes a
+    row.  Bounds are computed once and stored.
+    """
+    bins = max(bins, 2)
+    bounds = stored(bounds.selectExpr("path", "band", "min AS _lo", f"(max - min) / {bins}D AS _w"))
+    counts = scan_histograms(bounds.selectExpr("path", "band", "_lo AS low", "_w AS width"), bins, slice_bytes)
+    counted = counts.select("path", "band", F.posexplode("counts").alias("bin", "count"))
+    return _bins(bounds, bins, counted.groupBy("path", "band", "bin").agg(F.sum("count").alias("count")))

@@ -62,7 +62,7 @@ def _packed_bits(data: bytes) -> bytes:
     return b"".join(bytes([len(data[k : k + 128]) - 1]) + data[k : k + 128] for k in range(0, len(data), 128))
 
 
-def _geotiff(data: np.ndarray, tie: tuple, scale: tuple, epsg: int, nodata: str | None, layout: int) -> bytes:
+def _geotiff(data: np.ndarray, tie: tuple, scale: tuple, epsg: int, nodata: str | None, layout: int, metadata: str | None = None) -> bytes:
     """A GeoTIFF of data (rows, cols, bands); the layout number picks how samples are stored, not their values."""
     rows, cols, bands = data.shape
     order = ">" if layout % 5 == 2 else "<"
@@ -106,6 +106,8 @@ def _geotiff(data: np.ndarray, tie: tuple, scale: tuple, epsg: int, nodata: str
     tags |= {322: shorts(wide), 323: shorts(high), 324: longs(places), 325: sizes} if tiled else {273: longs(places), 278: shorts(high), 279: sizes}
     if nodata is not None:
         tags[42113] = (2, len(nodata) + 1, nodata.encode() + b"\0")
+    if metadata is not None:
+        tags[42112] = (2, len(metadata) + 1, metadata.encode() + b"\0")
     body = b"".join(blocks)
     body += b"\0" * (len(body) % 2)
     at = 8 + len(body)
@@ -121,17 +123,18 @@ def _geotiff(data: np.ndarray, tie: tuple, scale: tuple, epsg: int, nodata: str
     return head + body + directory + struct.pack(f"{order}I", 0) + extra
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, bool], str] = {}
 
 
-def rasters(spark: SparkSession, sf_dir: str) -> str:
+def rasters(spark: SparkSession, sf_dir: str, own_nodata: bool = False) -> str:
     """Folder of GeoTIFF files written from ``embeddings`` by a Spark job.
 
     Raster n holds vectors 64n .. 64n+63: band 1 the vector, band 2 its label plus column modulo 5.  Files differ in
     byte order, sample size, strips and tiles, planes, compression and predictor.  A folder is written once per
-    application; reading it again costs no write.
+    application; reading it again costs no write.  ``own_nodata``: 4 is the NoData of raster n, in a tag of its own
+    (n % 3 = 0) or a line of the metadata (n % 3 = 1).
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, own_nodata)
     if key in _written:
         return _written[key]
     folder = scratch_folder(spark)
@@ -150,8 +153,9 @@ def rasters(spark: SparkSession, sf_dir: str) -> str:
             (10.0 * n + 0.5, 60.0 - n),
             (0.25, 0.5 + n % 3),
             4326 if even else 32600 + n % 60,
-            "-9999" if even else None,
+            ("4" if n % 3 == 0 else None) if own_nodata else "-9999" if even else None,
             n,
+            "<AREA=Point>\nNODATA = 4\n" if own_nodata and n % 3 == 1 else None,
         )
         system, name = locate(folder)
         system.create_dir(name, recursive=True)

@@ -707,6 +707,12 @@ ORACLE: dict[str, str] = {
         "SELECT 'r' || n || '.tif' AS file, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean, "
         "round(stddev_pop(value), 6) AS stddev, count(*) AS count FROM pixels WHERE band = 2 AND value <> 4 GROUP BY n",
     ),
+    "rs_stats_without_header_nodata": sql(
+        PIXELS,
+        "SELECT 'r' || n || '.tif' AS file, band, round(min(value), 6) AS min, round(max(value), 6) AS max, "
+        "round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS stddev, count(*) AS count FROM pixels "
+        "WHERE n % 3 = 2 OR value <> 4 GROUP BY n, band",
+    ),
     "rs_histogram": sql(
         [
             *PIXELS,

@@ -394,7 +394,7 @@ def rs_stats(spark: SparkSession, sf: str) -> DataFrame:
 def rs_histogram(spark: SparkSession, sf: str) -> DataFrame:
     folder = derived.rasters(spark, sf)
     bounds = rasters.rs_stats(read_geotiff(spark, folder, "partials"))
-    bins = rasters.rs_histogram(rasters.tile_values(read_geotiff(spark, folder)), 16, bounds)
+    bins = rasters.block_histogram(bounds, 16)
     return _named(bins, "band", "bin", "round(value, 6) AS value", "count")
 
 
@@ -406,6 +406,15 @@ def rs_stats_without_nodata(spark: SparkSession, sf: str) -> DataFrame:
     return _named(stats, "min", "max", "round(mean, 6) AS mean", "round(stddev, 6) AS stddev", "count")
 
 
+@query
+def rs_stats_without_header_nodata(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics without each file's own NoData, from the statistics of its blocks."""
+    folder = derived.rasters(spark, sf, own_nodata=True)
+    stats = rasters.rs_stats(read_geotiff(spark, folder, "partials", ignoreNodata="true"))
+    rounded = (f"round({n}, 6) AS {n}" for n in ("min", "max", "mean", "stddev"))
+    return _named(stats, "band", *rounded, "count")
+
+
 def _band_query(name: str) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         folder = derived.rasters(spark, sf)

@@ -108,14 +108,14 @@ def list_files(pattern: str) -> list[tuple[str, int]]:
 
 
 def read_files(
-    paths: list[str], mode: str, part: int, parts: int, skip_errors: bool, max_pixels: int, wanted
+    paths: list[str], mode: str, part: int, parts: int, skip_errors: bool, max_pixels: int, wanted, without_nodata: bool = False
 ) -> Iterator[pa.RecordBatch]:
     schema = _ARROW[mode]
     for path in paths:
         try:
             tiff = Tiff(path, max_pixels)
             try:
-                yield from _batches(tiff, mode, part, parts, wanted, schema)
+                yield from _batches(tiff, mode, part, parts, wanted, schema, without_nodata)
             finally:
                 tiff.close()
         except (OSError, ValueError):
@@ -123,7 +123,7 @@ def read_files(
                 raise
 
 
-def _batches(tiff: Tiff, mode: str, part: int, parts: int, wanted, schema) -> Iterator[pa.RecordBatch]:
+def _batches(tiff: Tiff, mode: str, part: int, parts: int, wanted, schema, without_nodata: bool) -> Iterator[pa.RecordBatch]:
     if mode == "metadata":
         gt = {f"gt{k}": v for k, v in enumerate(tiff.transform)}
         text = ",".join(map(plain, tiff.transform))
@@ -134,7 +134,9 @@ def _batches(tiff: Tiff, mode: str, part: int, parts: int, wanted, schema) -> It
     held, size = [], 0
     for b in tiff.blocks(part, parts, wanted):
         if mode == "partials":
-            held.append((tiff.path, b.band, b.row, b.col, *partial(b.data)))
+            data = valued(b.data, tiff.nodata) if without_nodata else b.data
+            if data.size:
+                held.append((tiff.path, b.band, b.row, b.col, *partial(data)))
             continue
         rows, cols = b.data.shape
         if mode == "pixels":
@@ -157,6 +159,11 @@ def _batches(tiff: Tiff, mode: str, part: int, parts: int, wanted, schema) -> It
         yield _tile_batch(tiff.path, held, schema)
 
 
+def valued(data: np.ndarray, nodata: float) -> np.ndarray:
+    """The samples that aren't the file's own NoData (NaN where the header has none, or a bad one)."""
+    return data[~np.isnan(data)] if np.isnan(nodata) else data[data != nodata]
+
+
 def partial(data: np.ndarray) -> tuple[int, float, float, float, float]:
     """Count, smallest and largest number, mean and squared deviation of a block; NaN counts, and spoils the last two."""
     numbers = data[~np.isnan(data)]
@@ -182,6 +189,9 @@ class GeoTiffReader(DataSourceReader):
         if options.get("onerror", "fail") not in ("fail", "skip"):
             raise ValueError("onError must be fail or skip")
         self.skip_errors = options.get("onerror", "fail") == "skip"
+        self.without_nodata = options.get("ignorenodata", "false") == "true"
+        if self.without_nodata and self.mode != "partials":
+            raise ValueError("ignoreNodata is for mode partials")
         self.max_pixels = int(options.get("maxtilepixels", 1 << 18))
         self.partition_bytes = int(options.get("partitionbytes", 64 << 20))
         self.partition_files = int(options.get("partitionfiles", 1000))
@@ -221,8 +231,9 @@ class GeoTiffReader(DataSourceReader):
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         return read_files(
-            partition.paths, self.mode, partition.part, partition.parts, self.skip_errors, self.max_pixels, self._wanted
-        )
+            partition.paths, self.mode, partition.part, partition.parts, self.skip_errors, self.max_pixels, self._wanted,
+            self.without_nodata,
+        )
 
 
 class GeoTiff(DataSource):
@@ -238,7 +249,8 @@ class GeoTiff(DataSource):
 
 
 def read_geotiff(spark: SparkSession, path: str | list[str], mode: str = "tiles", **options) -> DataFrame:
-    """The data source, registered and loaded; ``options`` as ``bands="1"``, ``onError="skip"``."""
+    """The data source, registered and loaded; ``options`` as ``bands="1"``, ``onError="skip"``,
+    ``ignoreNodata="true"`` (mode ``partials``: the file's own NoData is left out)."""
     spark.dataSource.register(GeoTiff)
     paths = [path] if isinstance(path, str) else path
     reader = spark.read.format("geotiff").option("mode", mode).option("paths", json.dumps(paths))
@@ -335,15 +347,73 @@ def value_at(path: pa.Array, band: pa.Array, col: pa.Array, row: pa.Array) -> pa
     return pa.array(values, mask=~known)
 
 
-def scan_geotiff(files: DataFrame, path: str, mode: str = "tiles", skip_errors: bool = True) -> DataFrame:
-    """The same rows for a table of file paths, which never pass through the driver.
+SLICE_BYTES = 64 << 20
+
 
-    Each file is read by one task; use ``read_geotiff`` for few very large files.
+def sliced(files: DataFrame, path: str, skip_errors: bool = True, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """Rows of ``files`` for each slice of their file (``_part`` of ``_parts``), dealt anew, so tasks share large files.
+
+    Executors look at the sizes; absent files have no slice, or are an error.
     """
 
+    @F.arrow_udf(T.IntegerType())
+    def parts(paths: pa.Array) -> pa.Array:
+        out = []
+        for name in paths.to_pylist():
+            system, place = locate(name) if name is not None else (None, None)
+            info = system.get_file_info(place) if system else None
+            found = info is not None and info.type == fs.FileType.File
+            if not found and not skip_errors and name is not None:
+                raise FileNotFoundError(f"Cannot open: {name}")
+            out.append(max(1, -(-info.size // slice_bytes)) if found else 0)
+        return pa.array(out, pa.int32())
+
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = files.withColumn("_parts", parts(path)).where("_parts > 0")
+    return known.withColumn("_part", F.explode(F.expr("sequence(0, _parts - 1)"))).repartition(tasks, path, "_part")
+
+
+def scan_geotiff(files: DataFrame, path: str, mode: str = "tiles", skip_errors: bool = True, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The same rows for a table of file paths, which never pass through the driver; several tasks read a large file."""
+
     def read(batches):
         for batch in batches:
-            names = [p for p in batch.column(0).to_pylist() if p is not None]
-            yield from read_files(names, mode, 0, 1, skip_errors, 1 << 18, lambda *_: True)
+            for name, part, parts in zip(*(c.to_pylist() for c in batch.columns)):
+                yield from read_files([name], mode, part, parts, skip_errors, 1 << 18, lambda *_: True)
+
+    whole = 1 << 62 if mode == "metadata" else slice_bytes
+    return sliced(files.select(path), path, skip_errors, whole).select(path, "_part", "_parts").mapInArrow(read, SCHEMAS[mode])
 
-    return files.select(path).mapInArrow(read, SCHEMAS[mode])
+
+def bins_of(data: np.ndarray, low: float, width: float, bins: int) -> np.ndarray:
+    """Samples per bin: half-open, all of a raster of width 0 (or of NaN) in the first, as NaN samples are."""
+    if not width > 0:
+        return np.bincount([0], [data.size], bins).astype(np.int64)
+    place = (data.ravel() - low) / width
+    place = np.floor(np.where(np.isnan(place), 0, place))
+    return np.bincount(place[(place >= 0) & (place < bins)].astype(np.int64), minlength=bins)
+
+
+def scan_histograms(bounds: DataFrame, bins: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``path, band, counts`` for each slice of the files in ``bounds`` (path, band, low, width): samples per bin.
+
+    Bounds go to the reader; no sample leaves it.
+    """
+    files = bounds.groupBy("path").agg(F.collect_list(F.struct("band", "low", "width")).alias("_bands"))  # a file's bands
+
+    def read(batches):
+        for batch in batches:
+            for name, bands, part, parts in zip(*(c.to_pylist() for c in batch.columns)):
+                wanted = {b["band"]: (b["low"], b["width"]) for b in bands}
+                counts = {b: np.zeros(bins, np.int64) for b in wanted}
+                tiff = Tiff(name)
+                try:
+                    for block in tiff.blocks(part, parts, lambda band, *_: band in wanted):
+                        counts[block.band] += bins_of(block.data, *wanted[block.band], bins)
+                finally:
+                    tiff.close()
+                rows = [{"path": name, "band": b, "counts": n.tolist()} for b, n in counts.items()]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("path", pa.string()), ("band", pa.int32()), ("counts", pa.list_(pa.int64()))]))
+
+    slices = sliced(files, "path", False, slice_bytes).select("path", "_bands", "_part", "_parts")
+    return slices.mapInArrow(read, "path string, band int, counts array<long>")

@@ -274,3 +274,72 @@ def test_histogram(spark):
     assert got["n"] == [(1.25, 2), (1.75, 0), (2.25, 0), (2.75, 0)]
     assert [n for _, n in got["x"]] == [2, 0, 0, 0] and all(math.isnan(v) for v, _ in got["x"])
     assert rasters.rs_histogram(df.where("path = 'p'"), 0).count() == 2
+
+
+def test_block_histograms_equal_pixel_histograms(spark, tmp_path):
+    """Over files of several layouts, NaN and constant bands, whole and in slices."""
+    rng = np.random.default_rng(3)
+    a = rng.normal(0, 9, (70, 45, 2)).astype("f8")
+    a[3, 4, 0] = math.nan
+    b = np.full((20, 30, 2), 7.0)
+    b[..., 1] = math.nan
+    write_tiff(tmp_path / "a.tif", a, tile=(16, 16))
+    write_tiff(tmp_path / "b.tif", b)
+    write_tiff(tmp_path / "c.tif", a[:33], tile=(32, 16))
+    for slice_bytes in (1 << 26, 3000):
+        bounds = rasters.rs_stats(read_geotiff(spark, str(tmp_path), "partials"))
+        got = rasters.block_histogram(bounds, 7, slice_bytes).collect()
+        want = rasters.rs_histogram(rasters.tile_values(read_geotiff(spark, str(tmp_path))), 7, bounds).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == 42
+    plan = rasters.block_histogram(bounds, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(counts" in plan and "explode(data" not in plan
+
+
+def test_statistics_without_the_files_own_nodata(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    data = rng.integers(0, 6, (40, 50, 2)).astype("f8")
+    data[:16, :16] = 3  # a block of NoData alone
+    tags = {"a": {"nodata": "3"}, "b": {"metadata": "X=1\nNODATA=3"}, "c": {}, "d": {"nodata": "bad"}}
+    for name, more in tags.items():
+        write_tiff(tmp_path / f"{name}.tif", data, tile=(16, 16), **more)
+    holes = data.copy()
+    holes[::2] = math.nan
+    write_tiff(tmp_path / "e.tif", holes, tile=(16, 16))
+    write_tiff(tmp_path / "f.tif", np.full((20, 20, 1), 3.0), nodata="3")
+    found = rasters.rs_stats(read_geotiff(spark, str(tmp_path), "partials", ignoreNodata="true")).collect()
+    got = {(r.path[-5], r.band): r for r in found}
+    for name, source, keep in (("a", data, data != 3), ("b", data, data != 3), ("c", data, data > -1), ("d", data, data > -1), ("e", holes, ~np.isnan(holes))):
+        for band in (0, 1):
+            v, r = source[..., band][keep[..., band]], got[name, band + 1]
+            assert (r.min, r.max, r["count"]) == (v.min(), v.max(), len(v))
+            assert r.mean == pytest.approx(v.mean()) and r.stddev == pytest.approx(v.std())
+    assert ("f", 1) not in got  # no pixel has a value
+    with pytest.raises(Exception, match="ignoreNodata"):
+        read_geotiff(spark, str(tmp_path), "tiles", ignoreNodata="true").count()
+
+
+def test_a_large_file_of_a_table_of_paths_is_shared(spark, tmp_path):
+    data = np.arange(64 * 64, dtype="f8").reshape(64, 64, 1)
+    path = write_tiff(tmp_path / "a.tif", data, tile=(16, 16))
+    files = spark.createDataFrame([(str(path or tmp_path / "a.tif"),), (None,), (str(tmp_path / "none.tif"),)], "path string")
+    rows = scan_geotiff(files, "path", "pixels", slice_bytes=5000)
+    tasks = rows.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1 and rows.count() == 64 * 64 and rows.agg(F.sum("value")).first()[0] == data.sum()
+    with pytest.raises(Exception, match="Cannot open"):
+        scan_geotiff(files, "path", "pixels", skip_errors=False).count()
+
+
+def test_a_failing_store_fails_the_task(spark, tmp_path, monkeypatch):
+    """An absent file has no value; an error of its store isn't taken for that."""
+    data = np.ones((4, 4, 1))
+    write_tiff(tmp_path / "a.tif", data)
+    name = str(tmp_path / "a.tif")
+    df = spark.createDataFrame([(name, 1, 0, 0), (name + "x", 1, 0, 0)], "path string, b int, c int, r int").coalesce(1)
+    assert [r.rs_value == 1 or math.isnan(r.rs_value) for r in rasters.add_value(df, "b", "c", "r").collect()] == [True, True]
+
+    def failing(self, path, max_pixels=1 << 18):
+        raise TimeoutError("the store does not answer")
+
+    monkeypatch.setattr(Tiff, "__init__", failing)
+    with pytest.raises(Exception, match="does not answer"):
+        rasters.add_value(df, "b", "c", "r").collect()

@@ -41,7 +41,7 @@ from ..session import stored
 from . import common
 
 # Bytes of text in a shard, about (a longer text is a shard of its own).
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 12 << 20
 # Words that a bucket of the dictionary holds, about.
 BUCKET_WORDS = 2_000_000
 
@@ -91,9 +91,13 @@ def _shard(number: int, ids: pa.ChunkedArray, parts: pa.ChunkedArray, texts: lis
             digests += [hashlib.sha256(data[i:j]).digest() for i, j in zip(at, at[1:])]
             rows += b - a
     column = pa.chunked_array(words, pa.large_binary()).dictionary_encode()
+    del words
     own = column.chunk(0).dictionary if column.num_chunks else pa.array([], pa.large_binary())
     code = np.concatenate([c.indices.to_numpy().astype(np.int64) for c in column.chunks] or [np.zeros(0, np.int64)])
-    entry, counts = np.unique(np.concatenate(owner or [code]) * max(len(own), 1) + code, return_counts=True)
+    code += np.concatenate(owner or [code]) * max(len(own), 1)
+    del column, owner
+    entry, counts = np.unique(code, return_counts=True)
+    del code
     row, entry = np.divmod(entry, max(len(own), 1))
 
     def listed(values: pa.Array) -> pa.Array:
@@ -117,8 +121,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = batch.slice(a, b - a)
             n = int(np.diff(common.offsets(some.column(2))).sum())
             if held and size + n > SHARD_BYTES:
-                yield _shard(number, *_columns(held))
+                cut = _shard(number, *_columns(held))
                 number, held, size = number + 1, [], 0
+                yield cut
+                del cut
+                pa.default_memory_pool().release_unused()
             held.append(some)
             size += n
     if held:
@@ -200,6 +207,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [ids.values, parts.values, digest.cast(pa.binary()), pa.array(failed, pa.int32()), pa.array(n, pa.int64()), pa.array(distinct, pa.int64())],
                 names,
             )
+        pa.default_memory_pool().release_unused()
 
 
 def failures(matrix: DataFrame) -> DataFrame:

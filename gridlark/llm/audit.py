@@ -41,7 +41,7 @@ from ..session import stored
 from . import common
 
 # Bytes of text in a shard, about (a longer text is a shard of its own).
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 14 << 20
 # Words that a bucket of the dictionary holds, about.
 BUCKET_WORDS = 2_000_000
 

@@ -1,7 +1,8 @@
 """Coverings of a column of geometries (their bounding boxes): one row per cell.
 
-The boxes are parsed by Spark expressions; an Arrow UDF turns a batch of boxes
-into arrays of cells, exploded by Spark.
+The boxes are parsed by Spark expressions, different boxes searched by rounds of Spark steps (``descent``), and their
+cells joined to the rows.  Streams and the SQL names, where no rounds of jobs can run, search a batch of boxes in an Arrow
+UDF, with the same outcome.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import types as T
 from ..functions import cells, wkt
 from . import rectcover
 from .cells import children
+from .descent import BOX as _BOX
+from .descent import rects as _rects
+from .descent import searched
 
 # --- fixed values ---------------------------------------------------------------
 COVERING_CELLS = 64
@@ -22,13 +26,6 @@ LEAST_INTERIOR_CELLS = 4
 # ----------------------------------------------------------------------------------
 # No box has more than rectcover.FORCED_LIMIT cells at levels below this.
 _EASY_LEVEL = 5
-# Spark's usual size of an input partition.
-_SPLIT_BYTES = 128 << 20
-_BOX = ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
-
-
-def _rects(box: pa.StructArray) -> rectcover.Rects:
-    return rectcover.Rects.of_degrees(*(box.field(n).to_numpy(zero_copy_only=False) for n in _BOX))
 
 
 # Cells that a search holds at a time, about; boxes beyond it wait for the next search.
@@ -84,19 +81,24 @@ _square = cells.Formula(
 )
 
 
-def _generate(df, udf, text, lo, hi, limit, out) -> DataFrame:
+def _boxed(df: DataFrame, text: str) -> DataFrame:
+    return df.withColumn("_box", F.expr(wkt.bounds(f"`{text}`"))).where("_box IS NOT NULL")
+
+
+def _generate(df: DataFrame, udf, text: str, lo: int, hi: int, limit: int, out: str) -> DataFrame:
+    """Rows of a stream with the cells of their boxes."""
     keep = [c for c in df.columns if c != out]
-    boxed = df.withColumn("_box", F.expr(wkt.bounds(f"`{text}`"))).where("_box IS NOT NULL")
-    if not df.isStreaming:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        known = int(boxed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        if known < cores * _SPLIT_BYTES:
-            # so small a table has fewer partitions than cores, and a covering costs far more than moving its row
-            boxed = boxed.repartition(cores)
-    arrays = boxed.withColumn("_ids", udf("_box", F.lit(lo), F.lit(hi), F.lit(limit)))
+    arrays = _boxed(df, text).withColumn("_ids", udf("_box", F.lit(lo), F.lit(hi), F.lit(limit)))
     return arrays.select(*keep, "_box", F.explode("_ids").alias(out))
 
 
+def _joined(df: DataFrame, text: str, lo: int, hi: int, limit: int, interior: bool, out: str) -> DataFrame:
+    boxed = _boxed(df, text)
+    found = searched(boxed, lo, hi, limit, interior).withColumnsRenamed({"_box": "_of", "cell": "_cell"})
+    keep = [f"`{c}`" for c in df.columns if c != out]
+    return boxed.join(found, F.expr("_box = _of")).selectExpr(*keep, f"_cell AS `{out}`")
+
+
 def covering(df: DataFrame, text: str, min_level: int, max_level: int, out: str = "cell_id") -> DataFrame:
     """One row per cell of a covering of the bounding box of the WKT in column ``text``.
 
@@ -105,6 +107,8 @@ def covering(df: DataFrame, text: str, min_level: int, max_level: int, out: str
     """
     lo = min(max(min_level, 0), 30)
     keep = [c for c in df.columns if c != out]
+    if not df.isStreaming:
+        return _joined(df, text, lo, max_level, COVERING_CELLS, False, out)
     found = _generate(df, _covering_cells, text, lo, max_level, COVERING_CELLS, out)
     if lo == 0:
         return found.select(*keep, out)
@@ -126,6 +130,8 @@ def interior_covering(
     lo = min(max(min_level, 0), 30)
     keep = [c for c in df.columns if c != out]
     limit = max(max_cells, LEAST_INTERIOR_CELLS)
+    if not df.isStreaming:
+        return _joined(df, text, lo, max_level, limit, True, out)
     found = _generate(df, _interior_cells, text, lo, max_level, limit, out)
     if lo == 0:
         return found.select(*keep, out)

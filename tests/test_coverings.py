@@ -9,7 +9,7 @@ from published import BEIJING
 from pyspark.sql import functions as F
 
 from gridlark.functions import s2_cell_id, s2_cell_level, wkt
-from gridlark.operators import coverings, rectcover
+from gridlark.operators import coverings, descent, rectcover
 from gridlark.operators.coverings import covering, interior_covering
 
 
@@ -109,6 +109,43 @@ def test_forced_cells_are_the_ones_that_meet_the_box(spark):
     assert got.count() == expanded > limit
 
 
+@pytest.mark.parametrize(("low", "high", "limit", "interior"), [(0, 30, 64, False), (2, 9, 64, False), (0, 12, 64, True), (6, 10, 4, True)])
+def test_steps_of_spark_give_what_one_search_gives(spark, low, high, limit, interior):
+    """Cell by cell; repeated and null boxes too."""
+    names = ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
+    rows = [(tuple(map(float, b)),) for b in boxes()]
+    df = spark.createDataFrame([*rows, *rows[:9], (None,)], f"_box struct<{', '.join(n + ': double' for n in names)}>")
+    got = sorted((tuple(r._box), r.cell) for r in descent.searched(df, low, high, limit, interior).collect())
+    n = len(rows)
+    rects = rectcover.Rects.of_degrees(*np.array([r[0] for r in rows]).T)
+    owner, ids = rectcover.cover(rects, np.full(n, low), np.full(n, high), np.full(n, limit), interior)
+    want = set()
+    for k, c in zip(owner.tolist(), ids.tolist(), strict=True):
+        bit = c & -c
+        least = min(bit, 1 << 2 * (30 - low))
+        want |= {(rows[k][0], x) for x in range(c - (bit - least), c + bit, 2 * least)}
+    assert got == sorted(want)
+    assert descent.searched(df.where("false"), low, high, limit, interior).count() == 0
+
+
+def test_a_box_with_many_cells_is_no_group(spark, monkeypatch):
+    """Beyond the budget every cell is a group of its own: no window holds the box's cells."""
+    seen, real = [], descent._round
+
+    def look(state, level, lo, *args):
+        if level >= lo:
+            most = state.groupBy("_g", "_key").count().agg(F.max("count")).first()[0]
+            seen.append((level, most, state.count()))
+        return real(state, level, lo, *args)
+
+    monkeypatch.setattr(descent, "_round", look)
+    monkeypatch.setattr(descent, "ROUNDS", 1)
+    df = spark.createDataFrame([((39.0, 40.0, 116.0, 117.0),)], "_box struct<lat_lo: double, lat_hi: double, lon_lo: double, lon_hi: double>")
+    found = descent.searched(df, 11, 13, 64, False)
+    assert [x[:2] for x in seen] == [(11, 1), (12, 1)] and seen[0][2] > 500
+    assert found.count() == found.distinct().count() == seen[0][2]
+
+
 def test_text_that_is_no_geometry(spark):
     rows = ["", "POINT EMPTY", "POLYGON((1 2, 3))", "nonsense", "POINT(1 2, 3 4)", "LINESTRING(1 2, 3 4", None]
     df = spark.createDataFrame([(w,) for w in rows], "wkt string")

@@ -42,6 +42,8 @@ from . import common
 
 # Bytes of text in a shard, about (a longer text is a shard of its own).
 SHARD_BYTES = 14 << 20
+# Bytes of text whose words are looked for at a time.
+STEP_BYTES = 512 << 10
 # Words that a bucket of the dictionary holds, about.
 BUCKET_WORDS = 2_000_000
 
@@ -68,11 +70,10 @@ def _flags(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Failures of C and D of the rows that start at ``at``."""
 
     def number(of: np.ndarray) -> np.ndarray:
-        total = np.r_[0, np.cumsum(of)]
-        return total[at[1:]] - total[at[:-1]]
+        return np.diff(np.searchsorted(np.flatnonzero(of), at))
 
     capitals = number((data >= 0x41) & (data <= 0x5A))
-    characters = number((data & 0xC0) != 0x80)
+    characters = np.diff(at) - number((data & 0xC0) == 0x80)
     marks = number(np.isin(data, np.frombuffer(MARKS.encode(), np.uint8)))
     return np.where(100 * capitals > MOST_CAPITALS * characters, BIT["C"], 0) | np.where(marks > 0, BIT["D"], 0)
 
@@ -82,29 +83,35 @@ def _shard(number: int, ids: pa.ChunkedArray, parts: pa.ChunkedArray, texts: lis
     words, owner, fails, digests = [], [], [], []
     rows = 0
     for column in texts:
-        for a, b in common.slices(column):
+        for a, b in common.slices(column, STEP_BYTES):
             data, at = common.utf8(column.slice(a, b - a))
             starts, ends, row = common.spans(common.word_bytes()[data], at)
-            words.append(common.packed(data, starts, ends))
-            owner.append(row + rows)
+            words.append(common.packed(data, starts, ends).dictionary_encode())
+            owner.append((row + rows).astype(np.int32))
             fails.append(_flags(data, at))
             digests += [hashlib.sha256(data[i:j]).digest() for i, j in zip(at, at[1:])]
             rows += b - a
-    column = pa.chunked_array(words, pa.large_binary()).dictionary_encode()
+    column = pa.chunked_array(words, pa.dictionary(pa.int32(), pa.large_binary())).unify_dictionaries()
     del words
     own = column.chunk(0).dictionary if column.num_chunks else pa.array([], pa.large_binary())
-    code = np.concatenate([c.indices.to_numpy().astype(np.int64) for c in column.chunks] or [np.zeros(0, np.int64)])
-    code += np.concatenate(owner or [code]) * max(len(own), 1)
+    size, code, at = max(len(own), 1), np.empty(len(column), np.int64), 0
+    for chunk, row in zip(column.chunks, owner, strict=True):
+        part = code[at : at + len(chunk)]
+        np.multiply(row, size, out=part, dtype=np.int64)
+        part += chunk.indices.to_numpy()
+        at += len(chunk)
     del column, owner
-    entry, counts = np.unique(code, return_counts=True)
-    del code
-    row, entry = np.divmod(entry, max(len(own), 1))
+    code.sort()
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
+    counts = np.diff(np.r_[first, len(code)])
+    row, entry = np.divmod(code[first], size)
+    del code, first
 
     def listed(values: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     starts = np.searchsorted(row, np.arange(rows + 1))
-    width = np.min_scalar_type(max(counts, default=0))
+    width = np.min_scalar_type(int(counts.max(initial=0)))
     packed = [b"".join(digests), np.concatenate(fails).astype("u1"), starts.astype("<i4"), entry.astype("<i4"), counts.astype(width)]
     columns = [
         pa.array([number], pa.int64()), listed(ids.combine_chunks()), listed(parts.combine_chunks()),

@@ -102,17 +102,20 @@ def _shard(number: int, ids: pa.ChunkedArray, parts: pa.ChunkedArray, texts: lis
         at += len(chunk)
     del column, owner
     code.sort()
-    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
-    counts = np.diff(np.r_[first, len(code)])
-    row, entry = np.divmod(code[first], size)
-    del code, first
+    new = np.ones(len(code), bool)
+    np.not_equal(code[1:], code[:-1], out=new[1:])
+    first = np.flatnonzero(new).astype(np.int32)
+    counts = np.diff(first, append=np.int32(len(code)))
+    code = code[first]
+    del new, first
+    starts = np.searchsorted(code, np.arange(rows + 1) * size)
+    code %= size
 
     def listed(values: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    starts = np.searchsorted(row, np.arange(rows + 1))
     width = np.min_scalar_type(int(counts.max(initial=0)))
-    packed = [b"".join(digests), np.concatenate(fails).astype("u1"), starts.astype("<i4"), entry.astype("<i4"), counts.astype(width)]
+    packed = [b"".join(digests), np.concatenate(fails).astype("u1"), starts.astype("<i4"), code.astype("<i4"), counts.astype(width)]
     columns = [
         pa.array([number], pa.int64()), listed(ids.combine_chunks()), listed(parts.combine_chunks()),
         *(pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary()) for x in packed),

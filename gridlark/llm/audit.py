@@ -54,8 +54,9 @@ LEAST_DISTINCT = 65  # of 100 words
 MOST_CAPITALS = 5  # of 100 characters
 MARKS = "#$%&*|"
 
-# A shard's arrays are little-endian integers (``starts`` and ``entries`` of 32 bits, ``counts`` as wide as the largest
-# needs) or 32 bytes a document (``digests``), end to end.
+# A shard's arrays are little-endian 32-bit integers (``starts``), planes of bytes (``entries`` and ``counts``: the lowest
+# byte of all numbers, then the next, as many as the largest needs) or 32 bytes a document (``digests``), end to end.
+# Higher planes are long runs, as a row's entries ascend, so they take next to nothing once compressed.
 SHARDS = (
     "shard long, ids array<long>, parts array<string>, digests binary, fails binary, "
     "starts binary, entries binary, counts binary, words array<string>"
@@ -78,6 +79,19 @@ def _flags(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.where(100 * capitals > MOST_CAPITALS * characters, BIT["C"], 0) | np.where(marks > 0, BIT["D"], 0)
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers from 0 as planes of bytes, the lowest first; planes above the largest number's are left out."""
+    width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    return numbers.astype("<i4", copy=False).view("u1").reshape(-1, 4)[:, :width].T.tobytes()
+
+
+def from_planes(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 4), "u1")
+    if n:
+        out[:, : len(data) // n] = np.frombuffer(data, "u1").reshape(-1, n).T
+    return out.view("<i4").reshape(-1)
+
+
 def _shard(number: int, ids: pa.ChunkedArray, parts: pa.ChunkedArray, texts: list[pa.Array]) -> pa.RecordBatch:
     """One row: the CSR of these texts over their own words."""
     words, owner, fails, digests = [], [], [], []
@@ -114,8 +128,7 @@ def _shard(number: int, ids: pa.ChunkedArray, parts: pa.ChunkedArray, texts: lis
     def listed(values: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    width = np.min_scalar_type(int(counts.max(initial=0)))
-    packed = [b"".join(digests), np.concatenate(fails).astype("u1"), starts.astype("<i4"), code.astype("<i4"), counts.astype(width)]
+    packed = [b"".join(digests), np.concatenate(fails).astype("u1"), starts.astype("<i4"), planes(code.astype("<i4")), planes(counts)]
     columns = [
         pa.array([number], pa.int64()), listed(ids.combine_chunks()), listed(parts.combine_chunks()),
         *(pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary()) for x in packed),
@@ -186,9 +199,8 @@ def matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
 
 def arrays(starts: bytes, entries: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A shard's CSR: where each document's entries start (one more at the end), the entries' words, and their counts."""
-    entry = np.frombuffer(entries, "<i4")
-    width = len(counts) // max(len(entry), 1)
-    return np.frombuffer(starts, "<i4").astype(np.int64), entry, np.frombuffer(counts, f"<u{width or 1}")
+    at = np.frombuffer(starts, "<i4").astype(np.int64)
+    return at, from_planes(entries, at[-1]), from_planes(counts, at[-1])
 
 
 def global_numbers(numbers: pa.ListScalar) -> np.ndarray:

@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 from itertools import permutations
 
+import numpy as np
 import pytest
 
 from gridlark.llm import audit
@@ -110,3 +111,10 @@ def test_null_parts_join_empty_ones(spark, labels):
 
 def test_empty_table(no_docs, labels):
     assert audit.audit(no_docs, "doc_id", "source", "text", labels, "doc_id", "quality", "toxic").count() == 0
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [0, 255, 3], [256, 0], [65536, 1, 70000], [(1 << 24) + 5, 7, (1 << 31) - 1]])
+def test_planes_round_trip(numbers):
+    data = audit.planes(np.array(numbers, np.int32))
+    assert audit.from_planes(data, len(numbers)).tolist() == numbers
+    assert len(data) == len(numbers) * max(1, -(-max(numbers, default=0).bit_length() // 8))

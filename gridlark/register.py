@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import functions
 from .functions import cells, vectorized, wkt
 from .operators import coverings, rasters
+from .sources import named
 from .sources.geotiff import GeoTiff, value_at
 
 
@@ -70,15 +71,17 @@ def register(spark: SparkSession) -> None:
     )
 
 
-def register_rasters(spark: SparkSession, meta: DataFrame, tiles: DataFrame) -> None:
-    """The ``rs_*`` functions over one set of rasters.
+def register_rasters(spark: SparkSession, meta: DataFrame, tiles: DataFrame | None = None) -> None:
+    """The ``rs_*`` functions.
 
-    Their bodies look the path up in views of the raster tables; Spark turns
-    each call into a join on the path.  ``rs_value`` reads the blocks that it needs from the file itself.
+    Header values and transforms look the path up in the view ``raster_metadata``; Spark turns each call into a join on
+    the path.  ``rs_value``, ``rs_min`` to ``rs_stddev`` and the table functions ``rs_metadata``, ``rs_stats`` and
+    ``rs_histogram`` read the named file alone, whether it is in ``meta`` or not; their arguments may be columns
+    (``LATERAL``).  ``tiles``, if given, is named as view ``raster_tiles`` and not read by any of them.
     """
     meta.createOrReplaceTempView("raster_metadata")
-    tiles.createOrReplaceTempView("raster_tiles")
-    values = "SELECT band, value FROM raster_tiles LATERAL VIEW explode(data) AS value WHERE path = file"
+    if tiles is not None:
+        tiles.createOrReplaceTempView("raster_tiles")
     kinds = {"rs_nodata": "DOUBLE", "rs_scale_x": "DOUBLE", "rs_scale_y": "DOUBLE", "rs_geo_transform": "STRING", "rs_crs": "STRING"}
     for name, field in rasters.FIELDS.items():
         args = "file STRING, band INT" if name == "rs_nodata" else "file STRING"
@@ -87,19 +90,9 @@ def register_rasters(spark: SparkSession, meta: DataFrame, tiles: DataFrame) ->
             f"{name}({args}) RETURNS {kinds.get(name, 'INT')}",
             f"coalesce((SELECT max({field}) FROM raster_metadata WHERE path = file), {rasters.MISSING[name]})",
         )
-    number = "CASE WHEN NOT isnan(value) THEN value END"
-    aggregates = {
-        "rs_min": f"min({number})",
-        "rs_max": f"max({number})",
-        "rs_mean": "avg(value)",
-        "rs_stddev": "stddev_pop(value)",
-    }
-    for name, text in aggregates.items():
-        _define(
-            spark,
-            f"{name}(file STRING) RETURNS DOUBLE",
-            f"coalesce((SELECT {text} FROM ({values}) WHERE band = 1), {rasters.MISSING[name]})",
-        )
+    spark.udf.register("rs_first_band_stats", named.first_band_stats)
+    for name, field in rasters.STATS.items():
+        _define(spark, f"{name}(file STRING) RETURNS DOUBLE", f"coalesce(rs_first_band_stats(file).{field}, {rasters.MISSING[name]})")
     gt = {f"_gt{k}": f"max(gt.gt{k})" for k in range(6)}
     one = ", ".join(f"{text} AS {n}" for n, text in gt.items())
     transform = f"(SELECT {one} FROM raster_metadata WHERE path = file)"
@@ -122,30 +115,6 @@ def register_rasters(spark: SparkSession, meta: DataFrame, tiles: DataFrame) ->
         ),
     )
     spark.udf.register("rs_value", value_at)
-    _define(
-        spark,
-        "rs_metadata(file STRING) RETURNS TABLE (path STRING, width INT, height INT, bands INT, crs STRING)",
-        "SELECT m.path, m.width, m.height, m.bands, m.crs FROM raster_metadata m WHERE m.path = file",
-    )
-    # a band beyond the last is the last
-    rasters.tile_values(tiles).join(meta.select("path", "bands"), "path").createOrReplaceTempView("raster_values")
-    one_band = "path = file AND (band = greatest(number, 1) OR (band = bands AND number > bands))"
-    low, high = f"coalesce(min({number}), double('Infinity'))", f"coalesce(max({number}), double('-Infinity'))"
-    _define(
-        spark,
-        "rs_stats(file STRING, number INT) RETURNS TABLE "
-        "(min DOUBLE, max DOUBLE, mean DOUBLE, stddev DOUBLE, count BIGINT)",
-        f"SELECT {low}, {high}, avg(value), stddev_pop(value), count(*) FROM raster_values WHERE {one_band} GROUP BY band",
-    )
-    spark.sql(
-        f"SELECT path, band, bands, {low} AS lo, {high} AS hi FROM raster_values GROUP BY path, band, bands"
-    ).createOrReplaceTempView("raster_bounds")
-    width = "(hi - lo) / greatest(bins, 2)"
-    _define(
-        spark,
-        "rs_histogram(file STRING, number INT, bins INT) RETURNS TABLE (value DOUBLE, count BIGINT)",
-        f"SELECT lo + (bin + 0.5D) * w, sum(n) FROM (SELECT lo, {width} AS w, {rasters.BIN.format(w=width)} AS bin, 1L AS n "
-        f"FROM (SELECT b.*, v.value FROM raster_values v JOIN raster_bounds b ON v.path = b.path AND v.band = b.band) WHERE {one_band} "
-        f"UNION ALL SELECT lo, {width}, explode(sequence(0L, greatest(bins, 2) - 1L)), 0L FROM raster_bounds WHERE {one_band}) "
-        "WHERE bin < greatest(bins, 2) GROUP BY lo, w, bin",
-    )
+    spark.udtf.register("rs_metadata", named.RasterMetadata)
+    spark.udtf.register("rs_stats", named.RasterStats)
+    spark.udtf.register("rs_histogram", named.RasterHistogram)

@@ -12,6 +12,7 @@ from gridlark import functions
 from gridlark.operators.coverings import covering
 from gridlark.register import register, register_rasters
 from gridlark.sources.geotiff import read_geotiff
+from gridlark.sources.tiff import Tiff
 
 BEIJING = f"'{published.BEIJING}'"
 COARSE, FINE = published.LEVELS
@@ -125,3 +126,83 @@ def test_rasters(spark, sql, tmp_path):
     assert sql(f"SELECT min FROM rs_stats({f}, 9)") == [(1.0,)]
     assert sorted(sql(f"SELECT * FROM rs_histogram({f}, 1, 2)")) == [(5.5, 6), (16.5, 5)]
     assert sql("SELECT path, rs_value(path, 1, 2, 0) FROM raster_metadata") == [(path, 4.0)]
+
+
+@pytest.fixture
+def opened(tmp_path):
+    """Names of the files that any process opens as rasters."""
+    log, whole = tmp_path / "opened.txt", Tiff.__init__
+
+    def noted(self, path, max_pixels=1 << 18, _whole=whole, _log=str(log)):
+        with open(_log, "a") as f:
+            f.write(f"{path}\n")
+        _whole(self, path, max_pixels)
+
+    Tiff.__init__ = noted
+    yield lambda: log.read_text().split() if log.exists() else []
+    Tiff.__init__ = whole
+
+
+@pytest.fixture
+def files(tmp_path):
+    rng = np.random.default_rng(7)
+    data = [rng.normal(k, 3, (9 + k, 7, 2)).astype("f4") for k in range(4)]
+    data[1][2:4, 1, 0] = np.nan
+    data[2][...] = 5
+    return [(write_tiff(tmp_path / f"{k}.tif", d, rows_per_strip=4, tie=(0, 0), scale=(1, 1)), d) for k, d in enumerate(data)]
+
+
+def bins_by_definition(values, bins):
+    """Half-open bins between the least and the largest number; a constant raster's and NaN samples are in the first."""
+    low, high = np.nanmin(values), np.nanmax(values)
+    width, counts = (high - low) / bins, [0] * bins
+    for v in values.ravel():
+        k = 0 if width == 0 or np.isnan(v) else math.floor((v - low) / width)
+        if k < bins:
+            counts[k] += 1
+    return [(low + (k + 0.5) * width, n) for k, n in enumerate(counts)]
+
+
+def test_table_functions_over_columns(spark, sql, files, opened):
+    """Each request reads the file that it names: others are not opened, not even the registered ones."""
+    register_rasters(spark, read_geotiff(spark, [p for p, _ in files], "metadata"), read_geotiff(spark, [p for p, _ in files]))
+    asked = [(files[0][0], 1, 4), (files[0][0], 2, 3), (files[1][0], 1, 5), (files[1][0], 9, 1), (files[2][0], -4, 3), (None, 1, 2)]
+    spark.createDataFrame(asked, "path string, band int, bins int").coalesce(1).createOrReplaceTempView("requests")
+    arrays = dict(files)
+    got = {}
+    for path, band, bins, value, n in sql("SELECT r.*, h.* FROM requests r, LATERAL rs_histogram(path, band, bins) h"):
+        got.setdefault((path, band, bins), []).append((value, n))
+    assert sorted(opened()) == sorted(p for p, _ in files[:3])  # runs of one file open it once
+    assert len(got) == 5
+    for (path, band, bins), rows in got.items():
+        want = bins_by_definition(arrays[path][..., min(max(band, 1), 2) - 1].astype(float), max(bins, 2))
+        assert [n for _, n in rows] == [n for _, n in want]
+        assert [v for v, _ in rows] == pytest.approx([v for v, _ in want])
+    stats = sql("SELECT path, band, s.* FROM requests, LATERAL rs_stats(path, band) s")
+    assert len(stats) == 5
+    for path, band, low, high, mean, stddev, n in stats:
+        values = arrays[path][..., min(max(band, 1), 2) - 1].astype(float)
+        assert (low, high, n) == (np.nanmin(values), np.nanmax(values), values.size)
+        assert (mean, stddev) == pytest.approx((values.mean(), values.std()), nan_ok=True)
+    assert len(sql("SELECT m.* FROM requests, LATERAL rs_metadata(path) m")) == 5
+
+
+def test_statistics_read_the_named_file_alone(spark, sql, files, opened):
+    register_rasters(spark, read_geotiff(spark, [p for p, _ in files], "metadata"))
+    (path, data), f = files[3], f"'{files[3][0]}'"
+    low, high, mean, stddev = sql(f"SELECT rs_min({f}), rs_max({f}), rs_mean({f}), rs_stddev({f})")[0]
+    band = data[..., 0].astype(float)
+    assert (low, high) == (band.min(), band.max()) and (mean, stddev) == pytest.approx((band.mean(), band.std()))
+    assert set(opened()) == {path}
+    spark.createDataFrame([(files[0][0],), ("absent.tif",), (None,)], "path string").createOrReplaceTempView("asked")
+    assert sql("SELECT rs_min(path), rs_max(path) FROM asked") == [
+        (files[0][1][..., 0].min(), files[0][1][..., 0].max()), (math.inf, -math.inf), (math.inf, -math.inf)]
+    one = sql(f"SELECT * FROM rs_histogram({f}, 1, 6)")
+    assert one == [(pytest.approx(v), n) for v, n in bins_by_definition(band, 6)]
+
+
+def test_an_absent_raster_is_an_error_of_a_table(spark, sql, files):
+    register_rasters(spark, read_geotiff(spark, files[0][0], "metadata"))
+    for call in ("rs_metadata('absent.tif')", "rs_stats('absent.tif', 1)", "rs_histogram('absent.tif', 1, 2)"):
+        with pytest.raises(Exception, match="absent.tif"):
+            sql(f"SELECT * FROM {call}")

@@ -116,32 +116,37 @@ def formatted(messages: DataFrame, best: int | None = 1, trained: str = TRAINED)
     head = F.concat(F.lit(OPEN), F.replace(escaped(F.coalesce("role", F.lit(""))), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
     body = escaped(F.coalesce("text", F.lit("")))
     own = F.when(F.col("role") == trained, F.char_length(body)).otherwise(0)
-    piece = F.struct(
-        "place", F.concat(head, body, F.lit(CLOSE)).alias("piece"),
-        F.char_length(head).alias("head"), own.alias("own"),
-    )
-    whole = turns.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list(piece)).alias("_turns"))
-    # running starts: positions only, pieces are joined once
-    spans = """aggregate(_turns, named_struct('at', 0L, 'spans', CAST(array() AS array<struct<start: bigint, length: bigint>>)),
-        (s, t) -> named_struct('at', s.at + char_length(t.piece), 'spans',
-            concat(s.spans, array(named_struct('start', s.at + t.head, 'length', CAST(t.own AS BIGINT))))), s -> s.spans)"""
-    return whole.select(
-        "tree", "leaf", "rank", F.array_join("_turns.piece", "").alias("formatted"), F.expr(spans).alias("loss")
-    )
+    turns = turns.select("tree", "leaf", "rank", "place", F.concat(head, body, F.lit(CLOSE)).alias("piece"), F.char_length(head).alias("_head"), own.alias("_own"))
+    # where a turn starts is the length of all before it: a running sum, so a long conversation takes linear time
+    branch = ["tree", "leaf", "rank"]
+    size = F.char_length("piece").cast("bigint")
+    to_here = Window.partitionBy(*branch).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.sum(size).over(to_here) - size + F.col("_head")
+    span = F.struct(start.alias("start"), F.col("_own").cast("bigint").alias("length")).alias("span")
+    turns = turns.select(*branch, "place", "piece", span)
+    whole = turns.groupBy(*branch).agg(F.sort_array(F.collect_list(F.struct("place", "piece", "span"))).alias("_turns"))
+    return whole.select(*branch, F.array_join("_turns.piece", "").alias("formatted"), F.col("_turns.span").alias("loss"))
+
+
+def _pieces(formatted: str) -> str:
+    """SQL of the turns of a formatted conversation, each up to the end of its text."""
+    pieces = f"split(`{formatted}`, '{CLOSE[:-1]}\\n')"
+    return f"slice({pieces}, 1, size({pieces}) - 1)"
 
 
 def parsed(formatted: str = "formatted") -> Column:
     """The turns (role, text) of a formatted conversation."""
-    pieces = f"split(`{formatted}`, '{CLOSE[:-1]}\\n')"
-    ends = f"slice({pieces}, 1, size({pieces}) - 1)"
     role = f"substring_index(substring(p, {len(OPEN) + 1}), '\\n', 1)"
     text = f"substring(p, {len(OPEN) + 2} + char_length({role}))"
-    raw = F.expr(f"transform({ends}, p -> named_struct('role', {role}, 'text', {text}))")
+    raw = F.expr(f"transform({_pieces(formatted)}, p -> named_struct('role', {role}, 'text', {text}))")
     return F.transform(raw, lambda t: F.struct(unescaped(t.role).alias("role"), unescaped(t.text).alias("text")))
 
 
 def under_loss(formatted: str = "formatted", loss: str = "loss") -> Column:
-    """All text under the loss mask, in order, unescaped."""
-    kept = f"filter(`{loss}`, s -> s.length > 0)"
-    cut = f"transform({kept}, s -> substring(`{formatted}`, CAST(s.start AS INT) + 1, CAST(s.length AS INT)))"
+    """All text under the loss mask, in order, unescaped.
+
+    The mask has a span for each turn, which ends where the turn's text does; so each is cut from its own turn, and none
+    is looked for from the start of the conversation.
+    """
+    cut = f"zip_with({_pieces(formatted)}, `{loss}`, (p, s) -> right(p, CAST(s.length AS INT)))"
     return unescaped(F.array_join(F.expr(cut), ""))

@@ -1,4 +1,6 @@
 import hashlib
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +91,31 @@ def test_query_has_the_imitation(spark, sf):
     assert (row.n_turns, row.loss_chars) == (2, len(says))
     assert row.turns_sha256 == hashlib.sha256(f"user\n{says}\nassistant\n{says}\n".encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(says.encode()).hexdigest()
+
+
+def test_the_mask_marks_the_text_that_is_cut(spark, messages):
+    """Spans, taken from the formatted text by their positions, are the trained texts."""
+    out = replytrees.formatted(spark.createDataFrame(messages, SCHEMA), None)
+    undo = {"\\b": "\\", "\\o": "<turn>", "\\c": "</turn>"}
+    for r in out.select("formatted", "loss", replytrees.under_loss().alias("cut")).collect():
+        marked = "".join(r.formatted[s.start : s.start + s.length] for s in r.loss)
+        assert re.sub(r"\\[boc]", lambda m: undo[m[0]], marked) == r.cut
+        assert len(r.loss) == r.formatted.count("</turn>\n")
+
+
+def test_a_long_conversation_takes_linear_time(spark):
+    """Three times 20 000 turns within a minute (a copy of the list for each turn took minutes)."""
+    rows = spark.range(60_000).selectExpr(
+        "id % 3 AS c", "id DIV 3 AS turn", "if(id DIV 3 % 2 = 0, 'user', 'assistant') AS role", "repeat(char(97 + id % 26), 100) AS text"
+    )
+    messages = replytrees.linear(rows, "c", "turn", "role", "text").cache()
+    # a chain needs no search for its branches
+    ends = messages.select("tree", F.col("node").alias("leaf"), F.lit(1).alias("rank"), F.col("node").alias("place"), "node")
+    found, replytrees.branches = replytrees.branches, lambda m, best: ends.withColumn("leaf", F.lit(0))
+    try:
+        began = time.monotonic()
+        out = replytrees.formatted(messages).select("tree", F.size("loss").alias("n"), F.char_length(replytrees.under_loss()).alias("chars"))
+        assert sorted(map(tuple, out.collect())) == [(c, 20_000, 1_000_000) for c in range(3)]
+        assert time.monotonic() - began < 60
+    finally:
+        replytrees.branches = found

@@ -5,8 +5,10 @@ once.  Which hashes are kept depends on the hash alone, so sketches of any two t
 unequal the texts are: the share of A's kept hashes that B has too estimates how much of A is contained in B, and the
 sketch of two texts together is the union of theirs (``merged``).
 
-A text of one to four words is one shingle.  A text whose shingles all lie above the threshold keeps its least hash, so
-that it still has a fingerprint; a merge drops such hashes again if any lies below.  Null or empty texts, and texts of
+A text of one to four words is one shingle.  A text whose shingles all lie above the threshold (with k shingles, one text
+in ``2**k`` at a scale of 2) has its least hash as a stand-in, so that it still has a fingerprint, like those of equal
+texts only.  How much of such a text is contained in another that kept hashes is not known from sketches: containment is
+null there.  A merge drops stand-ins again if any hash lies below.  Null or empty texts, and texts of
 white space, have the empty sketch, which is like another empty one (1) and unlike all others (0).
 
 Words are runs of characters other than ASCII white space, case counts.  As text a sketch is the hashes' 16 hex digits
@@ -26,7 +28,7 @@ from . import common
 
 SHINGLE = 5
 # One of so many hashes is kept.
-SCALE = 8
+SCALE = 2
 
 
 def threshold(scale: int = SCALE) -> int:
@@ -60,10 +62,16 @@ def merged(df: DataFrame, by: list[str], sketch: str, out: str = "sketch", scale
     return found.select(*by, F.when(F.size(low) > 0, low).otherwise(F.array(F.array_min("_all"))).alias(out))
 
 
-def containment(a: str, b: str) -> Column:
-    """How much of ``a`` lies in ``b``: 1 if ``a`` is empty and ``b`` too, 0 if only one is."""
+def stands_in(sketch: str, scale: int = SCALE) -> Column:
+    """Whether the sketch is a stand-in: no hash of its text was kept."""
+    return (F.size(sketch) == 1) & (F.get(sketch, F.lit(0)) >= threshold(scale))
+
+
+def containment(a: str, b: str, scale: int = SCALE) -> Column:
+    """How much of ``a`` lies in ``b``: 1 if ``a`` is empty and ``b`` too, 0 if only one is; null if only ``a`` is a stand-in."""
     shared = F.size(F.array_intersect(a, b)) / F.size(a)
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), shared).otherwise((F.size(a) == F.size(b)).cast("double"))
+    known = F.when(stands_in(a, scale) & ~stands_in(b, scale), F.lit(None).cast("double")).otherwise(shared)
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), known).otherwise((F.size(a) == F.size(b)).cast("double"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -128,6 +136,7 @@ def compared(df: DataFrame, doc_id: str, text: str, scale: int = SCALE) -> DataF
         "doc_id", "n_chars", "edited_sha256", as_text("sketch").alias("fingerprint"),
         as_text("edited_sketch").alias("edited_fingerprint"), likeness("sketch", "edited_sketch").alias("near_edited"),
         likeness("sketch", "next_sketch").alias("near_next"),
-        containment("sketch", "edited_sketch").alias("contained_in_edited"),
-        containment("sketch", "next_sketch").alias("contained_in_next"),
+        containment("sketch", "edited_sketch", scale).alias("contained_in_edited"),
+        containment("sketch", "next_sketch", scale).alias("contained_in_next"),
+        stands_in("sketch", scale).alias("stands_in"),
     )

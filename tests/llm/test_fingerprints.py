@@ -95,3 +95,16 @@ def test_empty_table_and_single_row(spark, no_docs):
     one = spark.createDataFrame([(4, "ab cd")], "doc_id long, text string")
     (row,) = fingerprints.compared(one, "doc_id", "text").collect()
     assert row.near_next == 1.0 and row.n_chars == 5 and row.edited_sha256 == hashlib.sha256(b"ab ab").hexdigest()
+
+
+def test_short_texts_inside_long_ones(spark):
+    """A short text that kept a hash is wholly contained; of one that kept none nothing is said."""
+    long = sentence(3000, 5000).split()
+    texts = [" ".join(long[i : i + 10]) for i in range(0, 2000, 20)] + [" ".join(long[i : i + 5]) for i in range(0, 400, 20)]
+    df = spark.createDataFrame([(i, t, " ".join(long)) for i, t in enumerate(texts)], "doc_id long, text string, whole string")
+    df = fingerprints.with_sketch(fingerprints.with_sketch(df, "text", "a"), "whole", "b")
+    got = df.select("doc_id", fingerprints.containment("a", "b").alias("c"), fingerprints.containment("b", "a").alias("back"), fingerprints.stands_in("a").alias("s")).collect()
+    assert {r.c for r in got if not r.s} == {1.0} and {r.c for r in got if r.s} <= {None}
+    assert all(0 <= r.back < 0.01 for r in got)
+    assert sum(r.s for r in got if r.doc_id < 100) <= 8  # six shingles: one text in 64
+    assert 2 <= sum(r.s for r in got if r.doc_id >= 100) <= 18  # one shingle: one in two

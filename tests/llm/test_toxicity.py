@@ -1,4 +1,7 @@
+import math
+import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -93,3 +96,47 @@ def test_a_bounded_sample_keeps_the_mix_of_the_labels(spark):
         model = toxicity.train(df, df, "doc_id", "text", "doc_id", "toxic", rows=rows)
         got = df.limit(1).select(toxicity.scored(df, "text", model)).first()[0]
         assert 0.02 < got < 0.3, (rows, got)
+
+
+def test_fit_is_ftrl_coordinate_by_coordinate():
+    """The same weights from the update as published, one coordinate after the other over dictionaries."""
+    rng = np.random.default_rng(11)
+    examples = [(int(i % 3 == 0), np.unique(np.r_[rng.integers(0, 60, 8), 100 + i % 3]).astype(np.int32)) for i in range(240)]
+    alpha, beta, l1, l2 = toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(toxicity.EPOCHS):
+        for label, index in examples:
+            own = [*index.tolist(), "bias"]
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in own:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    model = toxicity.fit(examples)
+    want = {i: weight(i) for i in z if i != "bias" and weight(i)}
+    got = dict(zip(model.index.tolist(), model.weight.tolist()))
+    assert set(got) == set(want) and 0 < len(got) < 63
+    assert all(abs(got[i] - want[i]) < 1e-5 for i in want) and abs(model.bias - weight("bias")) < 1e-9
+
+
+def test_features_against_a_dictionary_of_words():
+    """Two texts share as many coordinates as they share words, stems and pairs."""
+
+    def named(text):
+        words = re.findall("[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-ZÀ-ÖØ-Þ]", lambda m: m[0].lower(), text))
+        raw = [w.encode() for w in words]
+        out = {("word", w) for w in raw} | {(k, w[:k]) for k in (4, 5) for w in raw if len(w) > k}
+        return out | {(f"gap {g}", a, b) for g in (1, 2, 3) for a, b in zip(raw, raw[g:])}
+
+    texts = ["Élan vital, ÀÞß × naïve naïveté", "the cat sat on the mat the cat sat", "x1 y2\tz3-w4 ... cafés", "", "élan VITAL the naïve cat on x1"]
+    for a in texts:
+        assert len(coordinates(a)) == len(named(a))
+        for b in texts:
+            assert len(coordinates(a) & coordinates(b)) == len(named(a) & named(b)), (a, b)
